@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from funnelspark.config import CUSTOM_ACTIVITY, CUSTOM_PREFIX
 from funnelspark.operators.lookup import lookup_join
 
-_KEY = F.concat(F.lit(CUSTOM_PREFIX), F.col("field_id"))
 _RECORD = ("lead_id", "activity_id")
 
 
+def field_key() -> Column:
+    """The key under which a record holds the dictionary's field."""
+    return F.concat(F.lit(CUSTOM_PREFIX), F.col("field_id"))
+
+
 def custom_records(activities: DataFrame) -> DataFrame:
     """Only records that can carry custom fields; the filter reaches the scan."""
     return activities.where(F.col("record_type") == CUSTOM_ACTIVITY).select(
@@ -35,7 +39,7 @@ def resolved_fields(activities: DataFrame, fields: DataFrame, fits: bool | None)
         F.explode("custom_fields").alias("key", "outcome_value"),
     )
     names = fields.select(
-        _KEY.alias("key"),
+        field_key().alias("key"),
         F.col("custom_activity_type_id").alias("type_id"),
         "custom_activity_type_name",
         "field_name",
@@ -69,12 +73,12 @@ def fields_as_columns(
     """
     of_types = fields.where(F.col("custom_activity_type_name").isin(*type_names))
     named = [
-        F.collect_set(F.when(F.col("field_name") == name, _KEY)).alias(f"_keys_{column}")
+        F.collect_set(F.when(F.col("field_name") == name, field_key())).alias(f"_keys_{column}")
         for column, name in columns.items()
     ]
     # A type's fields came out of one catalog document, which bounds the arrays.
     per_type = of_types.groupBy(F.col("custom_activity_type_id").alias("type_id")).agg(
-        F.collect_set(_KEY).alias("_keys"), *named
+        F.collect_set(field_key()).alias("_keys"), *named
     )
     records = custom_records(activities)
     joined = lookup_join(records, per_type, ["type_id"], how, spread=_RECORD, fits=fits)

@@ -71,29 +71,28 @@ def parse_payload(rows: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("struct<position int, context string>")
-def _error_context(texts: pd.Series) -> pd.DataFrame:
-    found = []
-    for text in texts:
-        position = 0
-        try:
-            json.loads(text or "")
-        except json.JSONDecodeError as error:
-            position = error.pos
-        around = None if text is None else text[max(0, position - 80) : position + 80]
-        found.append((position, around))
-    return pd.DataFrame(found, columns=["position", "context"])
-
-
 def failure_samples(rows: DataFrame, limit: int = 3) -> DataFrame:
     """The first failures with the text around the error, for a person to read."""
+
+    def error_context(texts: pd.Series) -> pd.DataFrame:
+        found = []
+        for text in texts:
+            position = 0
+            try:
+                json.loads(text)
+            except json.JSONDecodeError as error:
+                position = error.pos
+            found.append((position, text[max(0, position - 80) : position + 80]))
+        return pd.DataFrame(found, columns=["position", "context"])
+
+    # Only the parser of the Python runtime reports a position; it sees the sample alone.
+    context = F.pandas_udf(error_context, "struct<position int, context string>")
     first = (
         rows.where("parsed IS NULL AND repaired IS NOT NULL")
         .orderBy("insert_date", "raw_payload")
         .limit(limit)
     )
-    where = first.withColumn("_at", _error_context("repaired"))
-    return where.select(
+    return first.withColumn("_at", context("repaired")).select(
         "insert_date",
         F.length("repaired").alias("text_length"),
         F.col("_at.position").alias("position"),

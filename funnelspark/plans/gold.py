@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from funnelspark import config as c
 from funnelspark.functions.values import ends_with_any, week_of
-from funnelspark.operators.fields import fields_as_columns, resolved_fields
+from funnelspark.operators.fields import field_key, fields_as_columns, resolved_fields
 from funnelspark.operators.latest import latest_per_key
 from funnelspark.operators.lookup import lookup_join
 from funnelspark.plans.silver import Silver
@@ -236,7 +236,7 @@ def objections_faced(silver: Silver) -> DataFrame:
         F.explode("custom_fields").alias("key", "objection_raw"),
     )
     named = silver.fields.where(F.col("field_name") == c.OBJECTIONS).select(
-        F.concat(F.lit(c.CUSTOM_PREFIX), "field_id").alias("key"),
+        field_key().alias("key"),
         F.col("custom_activity_type_id").alias("type_id"),
     )
     on = ["key", "type_id"]
