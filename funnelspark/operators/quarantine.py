@@ -47,12 +47,13 @@ def unseen_failures(found: DataFrame, recorded: DataFrame) -> DataFrame:
 
 
 def payload_shape(payload: Column) -> Column:
-    """Which of the two known layouts a raw payload has."""
-    keys = F.map_keys(payload.try_cast("map<string,variant>"))
-    return (
-        F.when(F.array_contains(keys, "JSON_OBJECT"), "repair")
-        .when(F.array_contains(keys, "data"), "pass_through")
-        .otherwise("unrecognized")
+    """Which of the two known layouts a raw payload has; a JSON null counts as given."""
+
+    def has(key: str) -> Column:
+        return F.try_variant_get(payload, f"$.{key}", "variant").isNotNull()
+
+    return F.when(has("JSON_OBJECT"), "repair").when(has("data"), "pass_through").otherwise(
+        "unrecognized"
     )
 
 

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.sources.storage import shared_folder
+from funnelspark.sources.storage import open_table, written
 
 
 @dataclass(frozen=True)
@@ -66,17 +64,7 @@ def new_rows(source: DataFrame, run_ts: Column) -> DataFrame:
     return source.withColumn("update_date", run_ts)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def upsert_table(
-    spark: SparkSession,
     path: str,
     source: DataFrame,
     rule: UpsertRule,
@@ -87,12 +75,13 @@ def upsert_table(
     """Upsert into a parquet table split into ``buckets`` by key hash.
 
     Changed and new rows are found from the target's keys and hashes alone; only
-    the buckets they fall into are rewritten. Running it again changes nothing.
+    the buckets they fall into are rewritten. Running it again changes nothing. A
+    stored row keeps its bucket, so ``buckets`` may differ between runs.
     """
     # Same hash as the shuffle on the keys, so a task holds few buckets.
     bucket = F.pmod(F.hash(*rule.keys), F.lit(buckets))
     source = source.where(has_keys(rule)).withColumn("bucket", bucket)
-    target = read_table(spark, path)
+    target = open_table(path, new_rows(source, run_ts), ["bucket"])
 
     def write(rows: DataFrame) -> None:
         (
@@ -103,18 +92,19 @@ def upsert_table(
             .parquet(path)
         )
 
-    if target is None:
+    if target.isEmpty():
         write(new_rows(source, run_ts))
         return
-    known = target.select(*rule.keys, F.col(rule.hash_column).alias("_hash"))
+    known = target.select(
+        *rule.keys, F.col(rule.hash_column).alias("_hash"), F.col("bucket").alias("_bucket")
+    )
     delta = (
         source.join(known, list(rule.keys), "left")
         .where(F.col("_hash").isNull() | (F.col("_hash") != F.col(rule.hash_column)))
-        .drop("_hash")
+        .withColumn("bucket", F.coalesce("_bucket", "bucket"))
+        .drop("_hash", "_bucket")
     )
-    delta_path = f"{shared_folder(spark)}/delta-{uuid4().hex}"
-    delta.write.parquet(delta_path)
-    delta = spark.read.schema(delta.schema).parquet(delta_path)
+    delta = written(delta, "delta")
     touched = [row.bucket for row in delta.select("bucket").distinct().collect()]  # <= buckets
     if touched:
         kept = target.where(F.col("bucket").isin(touched))

@@ -58,7 +58,8 @@ def _fits(silver: Silver) -> bool | None:
 
 
 def _family(silver: Silver, types: tuple[str, ...], columns: dict[str, str]) -> DataFrame:
-    return fields_as_columns(silver.activities, silver.fields, types, columns, _fits(silver))
+    activities = silver.activities_of("custom_activity_type_name", types)
+    return fields_as_columns(activities, silver.fields, types, columns, _fits(silver))
 
 
 def strategy_call_activities(silver: Silver, corrected: bool = False) -> DataFrame:
@@ -219,7 +220,7 @@ def objections_faced(silver: Silver) -> DataFrame:
     strategy calls have none.
     """
     closers = fields_as_columns(
-        silver.activities,
+        silver.activities_of("field_name", (c.OBJECTIONS,)),
         silver.fields,
         c.STRATEGY_TYPES,
         {"closer_user_id": c.CLOSER},

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from funnelspark.config import CRM_USERS, CUSTOM_ACTIVITIES, LEAD_ACTIVITIES, SOURCE_TABLES
 from funnelspark.operators.quarantine import failures, parsed_rows, unseen_failures
-from funnelspark.operators.upsert import read_table, upsert_table
+from funnelspark.operators.upsert import upsert_table
 from funnelspark.plans import gold, quality, reports, silver
 from funnelspark.sources.landing import extract_table, run_summary
+from funnelspark.sources.storage import open_table
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
 
 MISSING_KEY = "record without a key"
@@ -52,9 +53,8 @@ def reconcile(spark: SparkSession, folders: Folders, now: datetime) -> DataFrame
     return quality.error_rate(spark.read.parquet(folders.reconciliation), now)
 
 
-def record_failures(spark: SparkSession, found: DataFrame, path: str) -> None:
-    recorded = read_table(spark, path)
-    fresh = found if recorded is None else unseen_failures(found, recorded)
+def record_failures(found: DataFrame, path: str) -> None:
+    fresh = unseen_failures(found, open_table(path, found))
     fresh.write.mode("append").parquet(path)
 
 
@@ -75,14 +75,19 @@ def build_silver(
         rows.select("insert_date", "raw_payload", "parsed").write.mode("overwrite").parquet(path)
         parsed[table] = spark.read.parquet(path)
         found = failures(parsed[table], table, stamp)
-        record_failures(spark, found, f"{root}/parse_failures")
+        record_failures(found, f"{root}/parse_failures")
     dictionary = silver.field_dictionary(parsed_rows(parsed[CUSTOM_ACTIVITIES]))
     dictionary.write.mode("overwrite").parquet(f"{root}/custom_activity_fields")
     users = silver.latest_users(parsed_rows(parsed[CRM_USERS]))
-    upsert_table(spark, f"{root}/users", users, silver.USER_RULE, stamp, buckets)
+    upsert_table(f"{root}/users", users, silver.USER_RULE, stamp, buckets)
     activities = silver.latest_activities(bronze[LEAD_ACTIVITIES])
+    keyless = silver.without_keys(
+        silver.activity_versions(bronze[LEAD_ACTIVITIES]), silver.ACTIVITY_RULE
+    ).select("insert_date", F.to_json("full_record").alias("raw_payload"), F.lit(None).alias("parsed"))
+    record_failures(
+        failures(keyless, LEAD_ACTIVITIES, stamp, MISSING_KEY), f"{root}/parse_failures"
+    )
     upsert_table(
-        spark,
         f"{root}/lead_activities",
         activities,
         silver.ACTIVITY_RULE,

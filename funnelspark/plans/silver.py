@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.config import CUSTOM_PREFIX
@@ -15,7 +15,6 @@ from funnelspark.operators.lookup import fits_broadcast
 from funnelspark.operators.nested import explode_items
 from funnelspark.operators.quarantine import parse_repaired, parsed_rows
 from funnelspark.operators.upsert import UpsertRule
-from funnelspark.sources.storage import new_folder
 
 USER_RULE = UpsertRule(
     keys=("user_id",),
@@ -28,7 +27,10 @@ ACTIVITY_RULE = UpsertRule(
 )
 
 
-@dataclass(frozen=True)
+MAX_LISTED_TYPES = 1000
+
+
+@dataclass(frozen=True, eq=False)
 class Silver:
     """The three tables the gold views read."""
 
@@ -44,6 +46,28 @@ class Silver:
     def users_fit(self) -> bool:
         return fits_broadcast(self.users.select("user_id", "email", "first_name", "last_name"))
 
+    @cached_property
+    def _types(self) -> dict[tuple[str, tuple[str, ...]], list[str] | None]:
+        return {}
+
+    def type_ids(self, column: str, values: tuple[str, ...]) -> list[str] | None:
+        """Ids of the types whose dictionary rows have one of the values.
+
+        A few ids can be pushed down to the scan of the activities, which are
+        sorted by type. None when there are too many to list.
+        """
+        if (column, values) not in self._types:
+            rows = self.fields.where(F.col(column).isin(*values))
+            ids = rows.select("custom_activity_type_id").distinct().limit(MAX_LISTED_TYPES + 1)
+            found = [row[0] for row in ids.collect()]
+            self._types[column, values] = found if len(found) <= MAX_LISTED_TYPES else None
+        return self._types[column, values]
+
+    def activities_of(self, column: str, values: tuple[str, ...]) -> DataFrame:
+        """The activities whose type has one of the values, as far as ids can be listed."""
+        ids = self.type_ids(column, values)
+        return self.activities if ids is None else self.activities.where(F.col("type_id").isin(ids))
+
 
 def parse_object_text(bronze: DataFrame) -> DataFrame:
     """Repair and parse the text under JSON_OBJECT of catalog and user rows."""
@@ -151,8 +175,3 @@ def without_keys(source: DataFrame, rule: UpsertRule) -> DataFrame:
         missing = missing | F.col(key).isNull()
     return source.where(missing)
 
-
-def silver_paths(spark: SparkSession) -> dict[str, str]:
-    root = new_folder(spark, "silver")
-    names = ("catalog_parsed", "users_parsed", "fields", "users", "activities", "parse_failures")
-    return {name: f"{root}/{name}" for name in names}

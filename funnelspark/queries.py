@@ -96,10 +96,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _land_and_load(spark: SparkSession, lines: dict[str, DataFrame]) -> pipeline.Folders:
     folders = pipeline.Folders(new_folder(spark, "load"))
     for table, rows in lines.items():
-        spread = F.xxhash64("raw_data", "insert_date")
-        groups = landing.group_count(rows, landing.BATCH_BYTES)
+        size = rows.agg(landing.line_bytes()).first()[0]
+        groups = landing.group_count(size, landing.BATCH_BYTES)
         batched = landing.size_batches(
-            rows, landing.BATCH_BYTES, spread, ["insert_date", "raw_data"], groups
+            rows, landing.BATCH_BYTES, F.xxhash64("line"), ["insert_date"], groups
         )
         landing.write_landing(batched, folders.landing, table, FIRST_RUN)
     pipeline.load_bronze(spark, folders, FIRST_RUN)
@@ -150,12 +150,14 @@ def size_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("props").alias("raw_data"), F.col("ts").alias("insert_date"), "event_id"
     )
     lines = landing.envelope(raw)
-    groups = landing.group_count(lines, SMALL_BATCH_BYTES)
+    groups = landing.group_count(lines.agg(landing.line_bytes()).first()[0], SMALL_BATCH_BYTES)
     batched = landing.size_batches(
-        lines, SMALL_BATCH_BYTES, F.col("event_id"), ["insert_date", "event_id"], groups
+        lines, SMALL_BATCH_BYTES, F.col("event_id"), ["insert_date"], groups
     )
     return batched.groupBy("batch").agg(
-        F.count("*").alias("lines"), F.sum(F.octet_length("line")).alias("bytes")
+        F.count("*").alias("lines"),
+        landing.line_bytes().alias("bytes"),
+        F.count_if("opens_batch").alias("opened"),
     )
 
 
@@ -203,12 +205,12 @@ def error_rate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_shape_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per layout; the keys are looked at only where no layout matches."""
+    keys = F.when(F.col("shape") == "unrecognized", quarantine.payload_keys(F.col("payload")))
     parts = [
-        rows.groupBy(
-            F.lit(table).alias("table_name"),
-            quarantine.payload_shape(F.col("payload")).alias("shape"),
-            quarantine.payload_keys(F.col("payload")).alias("keys"),
-        ).agg(F.count("*").alias("rows"))
+        rows.withColumn("shape", quarantine.payload_shape(F.col("payload")))
+        .groupBy(F.lit(table).alias("table_name"), "shape", keys.alias("keys"))
+        .agg(F.count("*").alias("rows"))
         for table, rows in crm.bronze_tables(spark, sf_dir).items()
     ]
     return _union(parts)
@@ -251,7 +253,7 @@ def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
                 for table in (c.CUSTOM_ACTIVITIES, c.CRM_USERS)
             ]
         )
-        pipeline.record_failures(spark, found, path)
+        pipeline.record_failures(found, path)
     rows = spark.read.parquet(path)
     return rows.select(
         "source_table", "insert_date", F.length("raw_payload").alias("text_length"), "failed_at"
@@ -339,7 +341,7 @@ def activities_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "lead_activities")
     for rows, run_ts in ((bronze.where(age <= 2), FIRST_RUN), (bronze, SECOND_RUN)):
         source = silver.latest_activities(rows)
-        upsert_table(spark, path, source, silver.ACTIVITY_RULE, _stamp(run_ts))
+        upsert_table(path, source, silver.ACTIVITY_RULE, _stamp(run_ts))
     return spark.read.parquet(path).select(
         "lead_id",
         "activity_id",

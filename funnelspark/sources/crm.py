@@ -150,7 +150,10 @@ def field_id(name: str) -> str:
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table, spread over all cores when it is stored in too few pieces."""
+    rows = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _pick(values: Sequence[str | None], index: Column) -> Column:

@@ -6,15 +6,16 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from funnelspark.config import EPOCH
-from funnelspark.operators.upsert import read_table
+from funnelspark.sources.storage import open_table
 
 BATCH_BYTES = 4 * 1024 * 1024
 # Batches packed in one sorted group; keeps a group's size bounded.
-BATCHES_PER_GROUP = 64
+BATCHES_PER_GROUP = 8
+_MARKS = "table_name string, high_water timestamp_ntz"
 
 
 def read_jdbc_table(
@@ -40,18 +41,12 @@ def read_jdbc_table(
 
 def read_checkpoint(spark: SparkSession, state: str, table: str) -> datetime:
     """High-water mark of the last finished extraction of ``table``."""
-    epoch = datetime.fromisoformat(EPOCH)
-    marks = read_table(spark, state)
-    if marks is None:
-        return epoch
-    return marks.where(F.col("table_name") == table).agg(F.max("high_water")).first()[0] or epoch
+    marks = open_table(state, spark.createDataFrame([], _MARKS)).where(F.col("table_name") == table)
+    return marks.agg(F.max("high_water")).first()[0] or datetime.fromisoformat(EPOCH)
 
 
 def advance_checkpoint(spark: SparkSession, state: str, table: str, mark: datetime) -> None:
-    row = spark.range(1).select(
-        F.lit(table).alias("table_name"), F.lit(mark).cast("timestamp_ntz").alias("high_water")
-    )
-    row.write.mode("append").parquet(state)
+    spark.createDataFrame([(table, mark)], _MARKS).write.mode("append").parquet(state)
 
 
 def after_checkpoint(rows: DataFrame, low: datetime | Column, high: Column | None = None) -> DataFrame:
@@ -93,9 +88,13 @@ def envelope(rows: DataFrame) -> DataFrame:
     return rows.withColumn("line", F.translate(line, "\r\n", "  "))
 
 
-def group_count(lines: DataFrame, max_bytes: int) -> int:
-    total = lines.agg(F.sum(F.octet_length("line"))).first()[0] or 0
-    return max(1, -(-total // (max_bytes * BATCHES_PER_GROUP)))
+def group_count(total_bytes: int | None, max_bytes: int) -> int:
+    """Groups needed so that each holds about ``BATCHES_PER_GROUP`` batches."""
+    return max(1, -(-(total_bytes or 0) // (max_bytes * BATCHES_PER_GROUP)))
+
+
+def line_bytes() -> Column:
+    return F.sum(F.octet_length("line"))
 
 
 def size_batches(
@@ -105,21 +104,25 @@ def size_batches(
 
     A batch is closed by the line that reaches the limit, so it exceeds the limit
     by less than one line. Groups come from ``spread``, which should be unique per
-    row; none of them grows with the table.
+    row; none of them grows with the table. ``opens_batch`` marks first lines.
     """
-    grouped = lines.withColumn("_group", F.pmod(spread, F.lit(groups)).cast("long"))
-    before = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    grouped = lines.withColumn("_spread", spread).withColumn(
+        "_group", F.pmod("_spread", F.lit(groups)).cast("long")
+    )
+    in_order = Window.partitionBy("_group").orderBy(*order, "_spread")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     written = F.coalesce(F.sum(F.octet_length("line")).over(before), F.lit(0))
-    batch = F.floor(written / max_bytes)
     # Batch numbers of the groups interleave.
-    return grouped.withColumn("batch", batch * groups + F.col("_group")).drop("_group")
+    numbered = grouped.withColumn("batch", F.floor(written / max_bytes) * groups + F.col("_group"))
+    previous = F.lag("batch").over(in_order)
+    opens = ~previous.eqNullSafe(F.col("batch"))
+    return numbered.withColumn("opens_batch", opens).drop("_group", "_spread")
 
 
-def write_landing(lines: DataFrame, landing: str, table: str, run_ts: datetime) -> str:
+def write_landing(lines: DataFrame, landing: str, table: str, run_ts: datetime) -> None:
     """``<landing>/<table>/dt=<day>/run=<time>/batch=<n>/``; repeating a run replaces it."""
     folder = f"{landing}/{table}/dt={run_ts:%Y-%m-%d}/run={run_ts:%Y%m%d_%H%M%S}"
     lines.select("line", "batch").write.mode("overwrite").partitionBy("batch").text(folder)
-    return folder
 
 
 @dataclass(frozen=True)
@@ -148,20 +151,21 @@ def extract_table(
     run wait for the next one. A failure leaves the checkpoint where it was.
     """
     low = read_checkpoint(spark, state, table)
-    fresh = after_checkpoint(rows, low)
-    count, high = fresh.agg(F.count("*"), F.max("insert_date")).first()
+    fresh = envelope(after_checkpoint(rows, low))
+    count, high, size = fresh.agg(F.count("*"), F.max("insert_date"), line_bytes()).first()
     if count == 0:
         return Extraction(table, 0, 0, False, low)
-    window = after_checkpoint(rows, low, F.lit(high).cast("timestamp_ntz"))
-    lines = envelope(window)
-    spread = F.xxhash64("raw_data", "insert_date")
-    groups = group_count(lines, max_bytes)
-    batched = size_batches(lines, max_bytes, spread, ["insert_date", "raw_data"], groups)
-    folder = write_landing(batched, landing, table, run_ts)
-    landed = spark.read.text(folder)
-    total, batches = landed.agg(F.count("*"), F.countDistinct("batch")).first()
+    lines = envelope(after_checkpoint(rows, low, F.lit(high).cast("timestamp_ntz")))
+    batched = size_batches(
+        lines, max_bytes, F.xxhash64("line"), ["insert_date"], group_count(size, max_bytes)
+    )
+    written = Observation()
+    observed = batched.observe(
+        written, F.count("*").alias("rows"), F.count_if("opens_batch").alias("batches")
+    )
+    write_landing(observed, landing, table, run_ts)
     advance_checkpoint(spark, state, table, high)
-    return Extraction(table, total, batches, True, high)
+    return Extraction(table, written.get["rows"], written.get["batches"], True, high)
 
 
 def run_summary(spark: SparkSession, runs: Sequence[Extraction]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,3 +37,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def open_table(path: str, like: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The table at ``path``, created empty with the columns of ``like`` when missing."""
+    like.limit(0).write.mode("ignore").partitionBy(*partition_by).parquet(path)
+    return like.sparkSession.read.schema(like.schema).parquet(path)
