@@ -50,7 +50,7 @@ def resolved_fields(activities: DataFrame, fields: DataFrame, fits: bool | None)
 
 def _largest(keys: str) -> Column:
     """MAX over the values of the record's keys named in ``keys``."""
-    return F.array_max(F.transform(keys, lambda key: F.col("custom_fields")[key]))
+    return F.expr(f"array_max(transform({keys}, key -> custom_fields[key]))")
 
 
 def fields_as_columns(

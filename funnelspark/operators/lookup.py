@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+SALTS = 16
 
 
 def fits_broadcast(dim: DataFrame) -> bool:
@@ -44,4 +44,6 @@ def lookup_join(
         return records.join(F.broadcast(dim), on, how)
     salted = records.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
     copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # Size estimates do not see the copies, so the optimizer might still broadcast them.
+    copies = copies.hint("merge")
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -69,16 +69,19 @@ def upsert_table(
     source: DataFrame,
     rule: UpsertRule,
     run_ts: Column,
-    buckets: int = 8,
+    buckets: int | None = None,
     sort_by: Sequence[str] = (),
 ) -> None:
-    """Upsert into a parquet table split into ``buckets`` by key hash.
+    """Upsert into a parquet table split into buckets by key hash.
 
     Changed and new rows are found from the target's keys and hashes alone; only
     the buckets they fall into are rewritten. Running it again changes nothing. A
-    stored row keeps its bucket, so ``buckets`` may differ between runs.
+    stored row keeps its bucket, so ``buckets`` may differ between runs; by default
+    there are as many as shuffle partitions.
     """
-    # Same hash as the shuffle on the keys, so a task holds few buckets.
+    if buckets is None:
+        buckets = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The hash of a shuffle on the same keys, so that a task holds one bucket.
     bucket = F.pmod(F.hash(*rule.keys), F.lit(buckets))
     source = source.where(has_keys(rule)).withColumn("bucket", bucket)
     target = open_table(path, new_rows(source, run_ts), ["bucket"])

@@ -18,6 +18,7 @@ from funnelspark.sources.storage import open_table
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
 
 MISSING_KEY = "record without a key"
+_BUCKET = ", bucket int"
 
 
 @dataclass(frozen=True)
@@ -63,7 +64,7 @@ def build_silver(
     bronze: Mapping[str, DataFrame],
     root: str,
     run_ts: datetime,
-    buckets: int = 8,
+    buckets: int | None = None,
 ) -> silver.Silver:
     """Bring the silver tables under ``root`` up to date with bronze."""
     stamp = F.lit(run_ts).cast("timestamp_ntz")
@@ -72,8 +73,12 @@ def build_silver(
         # Parsed once; good rows and failures are both read from the result.
         path = f"{root}/{table}_parsed"
         rows = silver.parse_object_text(bronze[table])
-        rows.select("insert_date", "raw_payload", "parsed").write.mode("overwrite").parquet(path)
-        parsed[table] = spark.read.parquet(path)
+        # The raw text is of use only where it failed.
+        text = F.when(F.col("parsed").isNull(), F.col("raw_payload")).alias("raw_payload")
+        rows.select("insert_date", text, "parsed").write.mode("overwrite").parquet(path)
+        parsed[table] = spark.read.schema(
+            "insert_date timestamp_ntz, raw_payload string, parsed variant"
+        ).parquet(path)
         found = failures(parsed[table], table, stamp)
         record_failures(found, f"{root}/parse_failures")
     dictionary = silver.field_dictionary(parsed_rows(parsed[CUSTOM_ACTIVITIES]))
@@ -100,10 +105,13 @@ def build_silver(
 
 
 def read_silver(spark: SparkSession, root: str) -> silver.Silver:
+    def table(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{name}")
+
     return silver.Silver(
-        fields=spark.read.parquet(f"{root}/custom_activity_fields"),
-        users=spark.read.parquet(f"{root}/users").drop("bucket"),
-        activities=spark.read.parquet(f"{root}/lead_activities").drop("bucket"),
+        fields=table("custom_activity_fields", silver.FIELDS_SCHEMA),
+        users=table("users", silver.USERS_SCHEMA + _BUCKET).drop("bucket"),
+        activities=table("lead_activities", silver.ACTIVITIES_SCHEMA + _BUCKET).drop("bucket"),
     )
 
 
@@ -115,9 +123,14 @@ def publish(spark: SparkSession, tables: silver.Silver) -> dict[str, DataFrame]:
     return views
 
 
+def load_view(spark: SparkSession, name: str) -> DataFrame:
+    """A published view; its rows are kept for repeated reads until unpersisted."""
+    return spark.table(name).cache()
+
+
 def export_csv(report: DataFrame, path: str) -> None:
-    """Write one report as CSV with a header; reports are small by construction."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """Write one report as CSV with a header; a small one ends up in a single file."""
+    report.write.mode("overwrite").option("header", True).csv(path)
 
 
 def run_daily(

@@ -10,7 +10,7 @@ from funnelspark.functions.values import text_at
 from funnelspark.operators.nested import string_leaves
 from funnelspark.operators.quarantine import parse_payload, parsed_rows
 from funnelspark.plans.silver import items_of
-from funnelspark.sources.landing import latest_raw
+from funnelspark.sources.landing import latest_raw, snapshot_date
 
 
 def parsed_source(raw: DataFrame, limit: int | None = None) -> DataFrame:
@@ -20,14 +20,24 @@ def parsed_source(raw: DataFrame, limit: int | None = None) -> DataFrame:
     return parsed_rows(parse_payload(rows.select(payload, "insert_date")))
 
 
+def newest_snapshot(raw: DataFrame) -> DataFrame:
+    """The raw rows of the newest snapshot; rows without a date count as newest."""
+    dated = raw.withColumn("_snapshot", snapshot_date())
+    newest = F.max(F.struct(F.col("_snapshot").isNull(), F.col("_snapshot"))).alias("newest")
+    only = dated.agg(newest).select(F.col("newest._snapshot").alias("_newest"))
+    same = F.col("_snapshot").eqNullSafe(F.col("_newest"))
+    return dated.join(F.broadcast(only), same).select(*raw.columns)
+
+
 def activity_catalog(raw: DataFrame) -> DataFrame:
     """Activity types of the newest snapshot, by name, archived ones marked."""
-    types = items_of(parsed_source(raw, limit=1), "parsed", "type")
+    types = items_of(parsed_source(newest_snapshot(raw)), "parsed", "type")
     name = text_at(F.col("type"), "name")
     archived = F.coalesce(F.try_variant_get("type", "$.is_archived", "boolean"), F.lit(False))
     mark = F.when(archived, " [ARCHIVED]").otherwise("")
     named = types.select(
-        F.coalesce(name, F.lit("")).alias("name"), F.concat(F.coalesce(name, F.lit("None")), mark).alias("listing")
+        F.coalesce(name, F.lit("")).alias("name"),
+        F.concat(F.coalesce(name, F.lit("None")), mark).alias("listing"),
     )
     return named.orderBy("name", "listing")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.config import CUSTOM_PREFIX
@@ -27,12 +27,25 @@ ACTIVITY_RULE = UpsertRule(
 )
 
 
+FIELDS_SCHEMA = (
+    "custom_activity_type_id string, custom_activity_type_name string, is_archived boolean,"
+    " field_id string, field_name string, field_type string"
+)
+USERS_SCHEMA = (
+    "user_id string, email string, first_name string, last_name string, role string,"
+    " status string, md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
+)
+ACTIVITIES_SCHEMA = (
+    "lead_id string, activity_id string, full_record variant, activity_at timestamp_ntz,"
+    " record_type string, type_id string, user_id string, custom_fields map<string,string>,"
+    " md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
+)
 MAX_LISTED_TYPES = 1000
 
 
 @dataclass(frozen=True, eq=False)
 class Silver:
-    """The three tables the gold views read."""
+    """The three tables the gold views read, as of the time they were opened."""
 
     fields: DataFrame
     users: DataFrame
@@ -103,6 +116,11 @@ def field_dictionary(parsed: DataFrame) -> DataFrame:
     return latest_per_key(named, ["field_id", "custom_activity_type_id"], newest).drop("insert_date")
 
 
+def content_hash(record: Column) -> Column:
+    """Equal for equal content: a variant writes its keys in order."""
+    return F.md5(record.cast("string"))
+
+
 def user_versions(parsed: DataFrame) -> DataFrame:
     users = items_of(parsed.select("insert_date", "parsed"), "parsed", "user")
     user = F.col("user")
@@ -113,7 +131,7 @@ def user_versions(parsed: DataFrame) -> DataFrame:
         text_at(user, "last_name").alias("last_name"),
         text_at(user, "role").alias("role"),
         text_at(user, "status").alias("status"),
-        F.md5(F.to_json(user)).alias("md5_hash"),
+        content_hash(user).alias("md5_hash"),
         "insert_date",
     )
 
@@ -135,7 +153,7 @@ def activity_versions(bronze: DataFrame) -> DataFrame:
         text_at(record, "id").alias("activity_id"),
         record.alias("full_record"),
         wall_clock(text_at(record, "activity_at")).alias("activity_at"),
-        F.md5(F.to_json(record)).alias("md5_hash"),
+        content_hash(record).alias("md5_hash"),
         "insert_date",
     )
 

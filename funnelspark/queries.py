@@ -14,7 +14,7 @@ from funnelspark.operators import quarantine
 from funnelspark.operators.upsert import UpsertRule, merge_rows, new_rows, upsert_table
 from funnelspark.plans import gold, metrics, pipeline, profiling, quality, reports, silver
 from funnelspark.sources import crm, landing
-from funnelspark.sources.storage import new_folder
+from funnelspark.sources.storage import new_folder, written
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
 from funnelspark.streaming.upserts import upsert_stream
 
@@ -41,7 +41,7 @@ def _state_of(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def new_silver(spark: SparkSession, sf_dir: str) -> silver.Silver:
-    bronze = crm.bronze_tables(spark, sf_dir)
+    bronze = {t: written(rows, t) for t, rows in crm.bronze_tables(spark, sf_dir).items()}
     return pipeline.build_silver(spark, bronze, new_folder(spark, "silver"), FIRST_RUN)
 
 

@@ -164,8 +164,8 @@ def _each_snapshot(rows: DataFrame) -> DataFrame:
     return rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(SNAPSHOTS - 1))))
 
 
-def _snapshot_time(hour: int) -> Column:
-    first = F.lit(f"{FIRST_SNAPSHOT} {hour:02d}:00:00").cast("timestamp_ntz")
+def _snapshot_time() -> Column:
+    first = F.lit(f"{FIRST_SNAPSHOT} 13:00:00").cast("timestamp_ntz")
     return first + F.make_dt_interval(F.col("k"))
 
 
@@ -271,7 +271,7 @@ def lead_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def custom_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog snapshots: one core document and one document per part."""
-    parts = _each_snapshot(_read(spark, sf_dir, "part")).withColumn("insert_date", _snapshot_time(12))
+    parts = _each_snapshot(_read(spark, sf_dir, "part")).withColumn("insert_date", _snapshot_time())
     p = F.col("p_partkey")
     renamed = (F.col("k") == 2) & (p % 10 == 0)
     name = F.concat(F.lit("Part's "), F.col("p_type"), F.when(renamed, " v2").otherwise(""))
@@ -295,7 +295,7 @@ def custom_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     document = F.when(cut, text.substr(F.lit(1), F.length(text) - 10)).otherwise(text)
     of_parts = parts.select(_object_row(document).alias("raw_data"), "insert_date")
 
-    core = _each_snapshot(spark.range(1)).withColumn("insert_date", _snapshot_time(13))
+    core = _each_snapshot(spark.range(1)).withColumn("insert_date", _snapshot_time())
     core_text = F.when(F.col("k") == 0, _core_document(legacy=True)).otherwise(
         _core_document(legacy=False)
     )
@@ -328,7 +328,7 @@ def _field_type(name: str) -> str:
 def crm_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User snapshots as pseudo-JSON; some rows are cut off, empty or of another shape."""
     rows = _each_snapshot(_read(spark, sf_dir, "customer")).withColumn(
-        "insert_date", _snapshot_time(13)
+        "insert_date", _snapshot_time()
     )
     n, k = F.col("c_custkey"), F.col("k")
     rows = rows.where(n % 12 != 11)

@@ -61,11 +61,14 @@ def page(rows: DataFrame, order: Sequence[str], limit: int, offset: int) -> Data
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
-def latest_raw(rows: DataFrame, limit: int | None = None) -> DataFrame:
-    """Newest rows by the payload's INSERT_DATE text, rows without one first."""
-    snapshot = F.get_json_object("raw_data", "$.INSERT_DATE")
-    ordered = rows.orderBy(snapshot.desc_nulls_first(), F.col("raw_data"))
-    return ordered if limit is None else ordered.limit(limit)
+def snapshot_date() -> Column:
+    """The INSERT_DATE text inside a raw row."""
+    return F.get_json_object("raw_data", "$.INSERT_DATE")
+
+
+def latest_raw(rows: DataFrame, limit: int) -> DataFrame:
+    """Newest rows by snapshot date, rows without one first."""
+    return rows.orderBy(snapshot_date().desc_nulls_first(), F.col("raw_data")).limit(limit)
 
 
 def spaced_timestamp(moment: Column) -> Column:
