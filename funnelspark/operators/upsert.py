@@ -15,8 +15,8 @@ from funnelspark.sources.storage import open_table, written
 class UpsertRule:
     """Rows match on ``keys``; a different hash replaces only ``updated`` columns.
 
-    With a ``version`` column, a source row older than the stored one is ignored,
-    so batches may arrive out of order.
+    With a ``version`` column, only a source row of a greater version replaces the
+    stored one, so batches may arrive in any order.
     """
 
     keys: Sequence[str]
@@ -32,36 +32,44 @@ def has_keys(rule: UpsertRule) -> Column:
     return present
 
 
-def merge_rows(target: DataFrame, source: DataFrame, rule: UpsertRule, run_ts: Column) -> DataFrame:
-    """The target after the upsert. ``source`` holds one row per key, keys not NULL."""
+def new_rows(source: DataFrame, run_ts: Column) -> DataFrame:
+    return source.withColumn("update_date", run_ts)
+
+
+def updated_rows(
+    target: DataFrame, source: DataFrame, rule: UpsertRule, run_ts: Column
+) -> DataFrame:
+    """The target with the changes of the source, whose other rows are left out.
+
+    The source may be broadcast when its size allows, and then the target is not
+    shuffled.
+    """
     data = [c for c in target.columns if c != "update_date"]
-    old = target.withColumn("_known", F.lit(True)).alias("old")
+    old = target.alias("old")
     new = source.select(*data).withColumn("_given", F.lit(True)).alias("new")
     same_key = F.lit(True)
     for key in rule.keys:
         same_key = same_key & (F.col(f"old.{key}") == F.col(f"new.{key}"))
-    known, given = F.col("old._known").isNotNull(), F.col("new._given").isNotNull()
-    changed = known & given & (
-        F.col(f"old.{rule.hash_column}") != F.col(f"new.{rule.hash_column}")
-    )
-    if rule.version:
-        changed = changed & (F.col(f"new.{rule.version}") >= F.col(f"old.{rule.version}"))
+    differs = F.col(f"old.{rule.hash_column}") != F.col(f"new.{rule.hash_column}")
+    changed = F.col("new._given").isNotNull() & differs
     replaced = {*rule.updated, rule.hash_column}
     if rule.version:
+        changed = changed & (F.col(f"new.{rule.version}") > F.col(f"old.{rule.version}"))
         replaced.add(rule.version)
 
     def merged(name: str) -> Column:
-        from_new = (~known | changed) if name in replaced else ~known
-        return F.when(from_new, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
+        if name not in replaced:
+            return F.col(f"old.{name}")
+        return F.when(changed, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
 
-    stamp = F.when(~known | changed, run_ts).otherwise(F.col("old.update_date"))
-    return old.join(new, same_key, "full").select(
-        *[merged(c) for c in data], stamp.alias("update_date")
-    )
+    stamp = F.when(changed, run_ts).otherwise(F.col("old.update_date")).alias("update_date")
+    return old.join(new, same_key, "left").select(*[merged(c) for c in data], stamp)
 
 
-def new_rows(source: DataFrame, run_ts: Column) -> DataFrame:
-    return source.withColumn("update_date", run_ts)
+def merge_rows(target: DataFrame, source: DataFrame, rule: UpsertRule, run_ts: Column) -> DataFrame:
+    """The target after the upsert. ``source`` holds one row per key, keys not NULL."""
+    unknown = source.join(target.select(*rule.keys), list(rule.keys), "left_anti")
+    return updated_rows(target, source, rule, run_ts).unionByName(new_rows(unknown, run_ts))
 
 
 def upsert_table(
@@ -104,6 +112,7 @@ def upsert_table(
     delta = (
         source.join(known, list(rule.keys), "left")
         .where(F.col("_hash").isNull() | (F.col("_hash") != F.col(rule.hash_column)))
+        .withColumn("_unknown", F.col("_hash").isNull())
         .withColumn("bucket", F.coalesce("_bucket", "bucket"))
         .drop("_hash", "_bucket")
     )
@@ -111,4 +120,6 @@ def upsert_table(
     touched = [row.bucket for row in delta.select("bucket").distinct().collect()]  # <= buckets
     if touched:
         kept = target.where(F.col("bucket").isin(touched))
-        write(merge_rows(kept, delta, rule, run_ts))
+        changes = delta.where("NOT _unknown")
+        added = new_rows(delta.where("_unknown").drop("_unknown"), run_ts)
+        write(updated_rows(kept, changes, rule, run_ts).unionByName(added))

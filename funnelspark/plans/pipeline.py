@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.config import CRM_USERS, CUSTOM_ACTIVITIES, LEAD_ACTIVITIES, SOURCE_TABLES
 from funnelspark.operators.quarantine import failures, parsed_rows, unseen_failures
-from funnelspark.operators.upsert import upsert_table
+from funnelspark.operators.upsert import UpsertRule, upsert_table
 from funnelspark.plans import gold, quality, reports, silver
 from funnelspark.sources.landing import extract_table, run_summary
 from funnelspark.sources.storage import open_table
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
+from funnelspark.streaming.upserts import each_new_batch
 
 MISSING_KEY = "record without a key"
-_BUCKET = ", bucket int"
 
 
 @dataclass(frozen=True)
@@ -59,6 +59,51 @@ def record_failures(found: DataFrame, path: str) -> None:
     fresh.write.mode("append").parquet(path)
 
 
+def parse_and_quarantine(bronze: DataFrame, table: str, root: str, run_ts: datetime) -> DataFrame:
+    """Documents of the rows that parse; the others are recorded."""
+    path = f"{root}/{table}_parsed"
+    rows = silver.parse_object_text(bronze)
+    # Parsed once: good rows and failures, which alone need their text, are read from it.
+    text = F.when(F.col("parsed").isNull(), F.col("raw_payload")).alias("raw_payload")
+    rows = rows.select("insert_date", text, "parsed")
+    rows.write.mode("overwrite").parquet(path)
+    stored = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    record_failures(failures(stored, table, _stamp(run_ts)), f"{root}/parse_failures")
+    return parsed_rows(stored)
+
+
+def _stamp(run_ts: datetime) -> Column:
+    return F.lit(run_ts).cast("timestamp_ntz")
+
+
+def rebuild_dictionary(bronze: DataFrame, root: str, run_ts: datetime) -> None:
+    parsed = parse_and_quarantine(bronze, CUSTOM_ACTIVITIES, root, run_ts)
+    fields = silver.field_dictionary(parsed)
+    fields.write.mode("overwrite").parquet(f"{root}/custom_activity_fields")
+
+
+def upsert_users(
+    bronze: DataFrame, root: str, run_ts: datetime, rule: UpsertRule, buckets: int | None = None
+) -> None:
+    parsed = parse_and_quarantine(bronze, CRM_USERS, root, run_ts)
+    users = silver.latest_users(parsed)
+    upsert_table(f"{root}/users", users, rule, _stamp(run_ts), buckets)
+
+
+def upsert_activities(
+    bronze: DataFrame, root: str, run_ts: datetime, rule: UpsertRule, buckets: int | None = None
+) -> None:
+    keyless = silver.without_keys(silver.activity_versions(bronze), rule).select(
+        "insert_date", F.to_json("full_record").alias("raw_payload"), F.lit(None).alias("parsed")
+    )
+    found = failures(keyless, LEAD_ACTIVITIES, _stamp(run_ts), MISSING_KEY)
+    record_failures(found, f"{root}/parse_failures")
+    # Kinds of records lie together, so a scan for one kind skips the others.
+    order = ("record_type", "type_id")
+    latest = silver.latest_activities(bronze)
+    upsert_table(f"{root}/lead_activities", latest, rule, _stamp(run_ts), buckets, order)
+
+
 def build_silver(
     spark: SparkSession,
     bronze: Mapping[str, DataFrame],
@@ -66,52 +111,45 @@ def build_silver(
     run_ts: datetime,
     buckets: int | None = None,
 ) -> silver.Silver:
-    """Bring the silver tables under ``root`` up to date with bronze."""
-    stamp = F.lit(run_ts).cast("timestamp_ntz")
-    parsed = {}
-    for table in (CUSTOM_ACTIVITIES, CRM_USERS):
-        # Parsed once; good rows and failures are both read from the result.
-        path = f"{root}/{table}_parsed"
-        rows = silver.parse_object_text(bronze[table])
-        # The raw text is of use only where it failed.
-        text = F.when(F.col("parsed").isNull(), F.col("raw_payload")).alias("raw_payload")
-        rows.select("insert_date", text, "parsed").write.mode("overwrite").parquet(path)
-        parsed[table] = spark.read.schema(
-            "insert_date timestamp_ntz, raw_payload string, parsed variant"
-        ).parquet(path)
-        found = failures(parsed[table], table, stamp)
-        record_failures(found, f"{root}/parse_failures")
-    dictionary = silver.field_dictionary(parsed_rows(parsed[CUSTOM_ACTIVITIES]))
-    dictionary.write.mode("overwrite").parquet(f"{root}/custom_activity_fields")
-    users = silver.latest_users(parsed_rows(parsed[CRM_USERS]))
-    upsert_table(f"{root}/users", users, silver.USER_RULE, stamp, buckets)
-    activities = silver.latest_activities(bronze[LEAD_ACTIVITIES])
-    keyless = silver.without_keys(
-        silver.activity_versions(bronze[LEAD_ACTIVITIES]), silver.ACTIVITY_RULE
-    ).select("insert_date", F.to_json("full_record").alias("raw_payload"), F.lit(None).alias("parsed"))
-    record_failures(
-        failures(keyless, LEAD_ACTIVITIES, stamp, MISSING_KEY), f"{root}/parse_failures"
-    )
-    upsert_table(
-        f"{root}/lead_activities",
-        activities,
-        silver.ACTIVITY_RULE,
-        stamp,
-        buckets,
-        # Kinds of records lie together, so a scan for one kind skips the others.
-        sort_by=("record_type", "type_id"),
-    )
+    """Bring the silver tables under ``root`` up to date with all of bronze."""
+    rebuild_dictionary(bronze[CUSTOM_ACTIVITIES], root, run_ts)
+    upsert_users(bronze[CRM_USERS], root, run_ts, silver.USER_RULE, buckets)
+    upsert_activities(bronze[LEAD_ACTIVITIES], root, run_ts, silver.ACTIVITY_RULE, buckets)
+    return read_silver(spark, root)
+
+
+def update_silver(
+    spark: SparkSession, folders: Folders, run_ts: datetime, buckets: int | None = None
+) -> silver.Silver:
+    """Bring silver up to date from the bronze rows not processed before.
+
+    The result is that of ``build_silver`` over all of bronze, in whatever order the
+    rows arrived: the newest version wins.
+    """
+    root = folders.silver
+    rebuild_dictionary(read_bronze(spark, folders.bronze, CUSTOM_ACTIVITIES), root, run_ts)
+    for table, upsert, rule in (
+        (CRM_USERS, upsert_users, silver.USER_RULE),
+        (LEAD_ACTIVITIES, upsert_activities, silver.ACTIVITY_RULE),
+    ):
+        newest_wins = replace(rule, version="version")
+        each_new_batch(
+            spark,
+            f"{folders.bronze}/{table}",
+            f"{folders.checkpoints}/silver-{table}",
+            lambda batch: upsert(batch, root, run_ts, newest_wins, buckets),
+        )
     return read_silver(spark, root)
 
 
 def read_silver(spark: SparkSession, root: str) -> silver.Silver:
     def table(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
+        return spark.read.schema(schema).parquet(f"{root}/{name}").drop("bucket")
 
     return silver.Silver(
         fields=table("custom_activity_fields", silver.FIELDS_SCHEMA),
-        users=table("users", silver.USERS_SCHEMA + _BUCKET).drop("bucket"),
-        activities=table("lead_activities", silver.ACTIVITIES_SCHEMA + _BUCKET).drop("bucket"),
+        users=table("users", silver.USERS_SCHEMA),
+        activities=table("lead_activities", silver.ACTIVITIES_SCHEMA),
     )
 
 
@@ -140,6 +178,5 @@ def run_daily(
     extract(spark, sources, folders, run_ts)
     load_bronze(spark, folders, run_ts)
     rate = reconcile(spark, folders, run_ts)
-    bronze = {table: read_bronze(spark, folders.bronze, table) for table in SOURCE_TABLES}
-    publish(spark, build_silver(spark, bronze, folders.silver, run_ts))
+    publish(spark, update_silver(spark, folders, run_ts))
     return rate

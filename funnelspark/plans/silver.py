@@ -18,12 +18,12 @@ from funnelspark.operators.upsert import UpsertRule
 
 USER_RULE = UpsertRule(
     keys=("user_id",),
-    updated=("email", "first_name", "last_name", "role", "status"),
+    updated=("email", "first_name", "last_name", "role", "status", "version"),
 )
 # The activity time stays as first seen.
 ACTIVITY_RULE = UpsertRule(
     keys=("lead_id", "activity_id"),
-    updated=("full_record", "record_type", "type_id", "user_id", "custom_fields"),
+    updated=("full_record", "record_type", "type_id", "user_id", "custom_fields", "version"),
 )
 
 
@@ -33,12 +33,13 @@ FIELDS_SCHEMA = (
 )
 USERS_SCHEMA = (
     "user_id string, email string, first_name string, last_name string, role string,"
-    " status string, md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
+    " status string, md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz,"
+    " bucket int"
 )
 ACTIVITIES_SCHEMA = (
     "lead_id string, activity_id string, full_record variant, activity_at timestamp_ntz,"
     " record_type string, type_id string, user_id string, custom_fields map<string,string>,"
-    " md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
+    " md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz, bucket int"
 )
 MAX_LISTED_TYPES = 1000
 
@@ -121,6 +122,14 @@ def content_hash(record: Column) -> Column:
     return F.md5(record.cast("string"))
 
 
+def version_of(*moments: str) -> Column:
+    """What makes one version newer than another: its times, a missing one first."""
+    parts = [part for name in moments for part in (F.col(name).isNull(), F.col(name))]
+    names = [f"{kind}_{i}" for i in range(len(moments)) for kind in ("open", "at")]
+    struct = [part.alias(name) for part, name in zip(parts, names)]
+    return F.struct(*struct, F.col("md5_hash").alias("hash")).alias("version")
+
+
 def user_versions(parsed: DataFrame) -> DataFrame:
     users = items_of(parsed.select("insert_date", "parsed"), "parsed", "user")
     user = F.col("user")
@@ -138,7 +147,8 @@ def user_versions(parsed: DataFrame) -> DataFrame:
 
 def latest_users(parsed: DataFrame) -> DataFrame:
     newest = [F.col("insert_date").desc_nulls_first(), F.col("md5_hash").desc()]
-    return latest_per_key(user_versions(parsed), ["user_id"], newest)
+    latest = latest_per_key(user_versions(parsed), ["user_id"], newest)
+    return latest.withColumn("version", version_of("insert_date"))
 
 
 def users_source(bronze: DataFrame) -> DataFrame:
@@ -183,6 +193,7 @@ def latest_activities(bronze: DataFrame) -> DataFrame:
         F.map_filter(entries, lambda key, _: key.startswith(CUSTOM_PREFIX)).alias("custom_fields"),
         "md5_hash",
         "insert_date",
+        version_of("activity_at", "insert_date"),
     )
 
 

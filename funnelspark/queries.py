@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 
 from funnelspark import config as c
 from funnelspark.operators import quarantine
-from funnelspark.operators.upsert import UpsertRule, merge_rows, new_rows, upsert_table
+from funnelspark.operators.upsert import merge_rows, new_rows, upsert_table
 from funnelspark.plans import gold, metrics, pipeline, profiling, quality, reports, silver
 from funnelspark.sources import crm, landing
 from funnelspark.sources.storage import new_folder, written
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
-from funnelspark.streaming.upserts import upsert_stream
+from funnelspark.streaming.upserts import each_new_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -299,20 +300,14 @@ def users_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_rows(first, _stamp(FIRST_RUN))
     source = silver.users_source(bronze)
     merged = merge_rows(target, source, silver.USER_RULE, _stamp(SECOND_RUN))
-    return merged.drop("md5_hash")
+    return merged.drop("md5_hash", "version")
 
 
 def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same two runs as streams over landed files and a written table."""
     raw = crm.crm_users(spark, sf_dir)
     folders = pipeline.Folders(new_folder(spark, "users_stream"))
-    rule = UpsertRule(
-        silver.USER_RULE.keys, silver.USER_RULE.updated, version="version_date"
-    )
-
-    def to_source(bronze: DataFrame) -> DataFrame:
-        return silver.users_source(bronze).withColumn("version_date", F.col("insert_date"))
-
+    rule = replace(silver.USER_RULE, version="version")
     for run_ts in (FIRST_RUN, SECOND_RUN):
         arrived = _until(raw, LAST_FIRST_RUN_SNAPSHOT) if run_ts == FIRST_RUN else raw
         landing.extract_table(
@@ -321,16 +316,14 @@ def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         load_bronze_table(
             spark, folders.landing, folders.bronze, folders.checkpoints, c.CRM_USERS, run_ts
         )
-        upsert_stream(
+        each_new_batch(
             spark,
             f"{folders.bronze}/{c.CRM_USERS}",
-            to_source,
-            folders.users,
-            rule,
-            f"{folders.checkpoints}/users",
-            run_ts,
+            f"{folders.checkpoints}/silver",
+            lambda batch: pipeline.upsert_users(batch, folders.silver, run_ts, rule),
         )
-    return spark.read.parquet(folders.users).drop("md5_hash", "bucket", "version_date")
+    users = spark.read.parquet(f"{folders.silver}/users")
+    return users.drop("md5_hash", "bucket", "version")
 
 
 def activities_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,9 +120,12 @@ def test_merge_updates_only_listed_columns(spark):
 def test_merge_ignores_older_versions(spark):
     rule = UpsertRule(("a", "b"), ("v",), version="at")
     target = spark.createDataFrame([("l", "1", "new", 5, "h5", "x")], COLUMNS + ", update_date string")
-    older = spark.createDataFrame([("l", "1", "old", 4, "h4")], COLUMNS)
+    older = spark.createDataFrame([("l", "1", "old", 4, "h4"), ("l", "2", "add", 4, "h")], COLUMNS)
     newer = spark.createDataFrame([("l", "1", "newer", 6, "h6")], COLUMNS)
-    assert merge_rows(target, older, rule, F.lit("y")).first().v == "new"
+    assert {r.b: r.v for r in merge_rows(target, older, rule, F.lit("y")).collect()} == {
+        "1": "new",
+        "2": "add",
+    }
     row = merge_rows(target, newer, rule, F.lit("y")).first()
     assert (row.v, row["at"]) == ("newer", 6)
 

@@ -1,5 +1,6 @@
 """Stages in order, run twice, and the shape of the plans."""
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -44,6 +45,30 @@ def test_two_days_equal_one_build(spark, silver, daily):
     assert [(r.error_rate, r.breached) for r in rates] == [(0.0, False)] * 2
 
 
+def test_snapshots_may_arrive_in_any_order(spark, silver):
+    """Newest first gives the same content as all at once."""
+    raw = crm.raw_tables(spark, SMALLEST)
+    bronze = crm.bronze_tables(spark, SMALLEST)
+    root = new_folder(spark, "backwards")
+    limit = F.lit("2024-01-12").cast("timestamp_ntz")
+    late, early = F.col("insert_date") >= limit, F.col("insert_date") < limit
+    assert raw[c.CRM_USERS].where(late).count() and raw[c.LEAD_ACTIVITIES].where(early).count()
+    for part in (late, early, late):
+        for table, upsert, rule in (
+            (c.CRM_USERS, pipeline.upsert_users, silver_plan.USER_RULE),
+            (c.LEAD_ACTIVITIES, pipeline.upsert_activities, silver_plan.ACTIVITY_RULE),
+        ):
+            upsert(bronze[table].where(part), root, FIRST, replace(rule, version="version"), 3)
+    for name, expected, key in (
+        ("users", silver.users, ["user_id"]),
+        ("lead_activities", silver.activities, ["lead_id", "activity_id"]),
+    ):
+        columns = [*key, "md5_hash"]
+        found = spark.read.parquet(f"{root}/{name}").select(*columns)
+        assert found.count() == expected.count()
+        assert found.exceptAll(expected.select(*columns)).count() == 0
+
+
 def test_bronze_holds_every_raw_row_with_content(spark, daily):
     folders, _ = daily
     for table, rows in crm.raw_tables(spark, SMALLEST).items():
