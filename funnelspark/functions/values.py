@@ -39,7 +39,7 @@ def indicator(condition: Column) -> Column:
 
 
 def week_of(moment: Column) -> Column:
-    return F.date_trunc("week", moment).cast("date")
+    return F.trunc(moment.cast("date"), "week")
 
 
 def month_of(moment: Column) -> Column:

@@ -66,12 +66,6 @@ def updated_rows(
     return old.join(new, same_key, "left").select(*[merged(c) for c in data], stamp)
 
 
-def merge_rows(target: DataFrame, source: DataFrame, rule: UpsertRule, run_ts: Column) -> DataFrame:
-    """The target after the upsert. ``source`` holds one row per key, keys not NULL."""
-    unknown = source.join(target.select(*rule.keys), list(rule.keys), "left_anti")
-    return updated_rows(target, source, rule, run_ts).unionByName(new_rows(unknown, run_ts))
-
-
 def upsert_table(
     path: str,
     source: DataFrame,

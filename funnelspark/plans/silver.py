@@ -13,7 +13,7 @@ from funnelspark.functions.values import text_at, wall_clock
 from funnelspark.operators.latest import latest_per_key
 from funnelspark.operators.lookup import fits_broadcast
 from funnelspark.operators.nested import explode_items
-from funnelspark.operators.quarantine import parse_repaired, parsed_rows
+from funnelspark.operators.quarantine import parse_repaired
 from funnelspark.operators.upsert import UpsertRule
 
 USER_RULE = UpsertRule(
@@ -151,10 +151,6 @@ def latest_users(parsed: DataFrame) -> DataFrame:
     return latest.withColumn("version", version_of("insert_date"))
 
 
-def users_source(bronze: DataFrame) -> DataFrame:
-    return latest_users(parsed_rows(parse_object_text(bronze)))
-
-
 def activity_versions(bronze: DataFrame) -> DataFrame:
     records = items_of(bronze.select("payload", "insert_date"), "payload", "record")
     record = F.col("record")

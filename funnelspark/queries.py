@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from funnelspark import config as c
 from funnelspark.operators import quarantine
-from funnelspark.operators.upsert import merge_rows, new_rows, upsert_table
+from funnelspark.operators.upsert import upsert_table
 from funnelspark.plans import gold, metrics, pipeline, profiling, quality, reports, silver
 from funnelspark.sources import crm, landing
 from funnelspark.sources.storage import new_folder, written
@@ -296,11 +296,11 @@ def _stamp(run_ts: datetime):
 def users_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users after a run over the first two snapshots and one over all of them."""
     bronze = crm.bronze_tables(spark, sf_dir)[c.CRM_USERS]
-    first = silver.users_source(_until(bronze, LAST_FIRST_RUN_SNAPSHOT))
-    target = new_rows(first, _stamp(FIRST_RUN))
-    source = silver.users_source(bronze)
-    merged = merge_rows(target, source, silver.USER_RULE, _stamp(SECOND_RUN))
-    return merged.drop("md5_hash", "version")
+    root = new_folder(spark, "users")
+    first = _until(bronze, LAST_FIRST_RUN_SNAPSHOT)
+    for rows, run_ts in ((first, FIRST_RUN), (bronze, SECOND_RUN)):
+        pipeline.upsert_users(rows, root, run_ts, silver.USER_RULE)
+    return spark.read.parquet(f"{root}/users").drop("md5_hash", "bucket", "version")
 
 
 def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

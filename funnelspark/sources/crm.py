@@ -260,7 +260,7 @@ def lead_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
         named = [given(v).alias(f"custom.{field_id(name)}") for name, v in fields.items()]
         return F.struct(*columns, *named)
 
-    insert_date = F.date_trunc("DAY", F.col("ts")).cast("timestamp_ntz") + F.make_dt_interval(
+    insert_date = F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(
         F.col("k") + 1, F.lit(13)
     )
     records = F.array_compact(F.array(record(False), F.when(e % 3 == 0, record(True))))

@@ -73,9 +73,9 @@ def latest_raw(rows: DataFrame, limit: int) -> DataFrame:
 
 def spaced_timestamp(moment: Column) -> Column:
     """``YYYY-MM-DD HH:MM:SS`` with six more digits only when there is a fraction."""
-    whole = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
-    fraction = F.date_format(moment, "SSSSSS")
-    return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
+    text = moment.cast("string")
+    padded = F.rpad(text, F.lit(26), F.lit("0"))
+    return F.when(F.contains(text, F.lit(".")), padded).otherwise(text)
 
 
 def envelope(rows: DataFrame) -> DataFrame:

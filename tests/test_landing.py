@@ -5,6 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from funnelspark.config import CRM_USERS
+from funnelspark.functions.values import wall_clock, week_of
 from funnelspark.sources import landing
 from funnelspark.sources.storage import new_folder, shared_folder
 from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
@@ -38,6 +39,22 @@ def test_envelope_lines(spark):
     ]
 
 
+def test_wall_clock_ignores_the_session_time_zone(spark):
+    """02:30 did not exist in New York on this day; it still is a wall clock time."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.sql("SELECT '{}' AS raw_data, timestamp_ntz'2024-03-10 02:30:00.25' AS insert_date")
+        line = landing.envelope(rows).select(
+            "line", week_of(F.col("insert_date")).alias("week"),
+            wall_clock(F.lit("2024-03-10T02:30:00Z")).cast("string").alias("clock"),
+        )
+        row = line.first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.line.endswith('"2024-03-10 02:30:00.250000"}')
+    assert (str(row.week), row.clock) == ("2024-03-04", "2024-03-10 02:30:00")
+
+
 @pytest.mark.parametrize("groups", [1, 4])
 def test_batches_stay_near_the_limit(spark, groups):
     limit = 1000

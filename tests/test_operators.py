@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from funnelspark.functions import values
 from funnelspark.operators import fields, lookup, nested, quarantine
 from funnelspark.operators.latest import latest_per_key
-from funnelspark.operators.upsert import UpsertRule, merge_rows, upsert_table
+from funnelspark.operators.upsert import UpsertRule, upsert_table
 from funnelspark.sources.storage import new_folder
 
 RULE = UpsertRule(keys=("a", "b"), updated=("v",))
@@ -100,34 +100,36 @@ def test_lookup_bound_counts_bytes(spark, monkeypatch):
     assert not lookup.fits_broadcast(dim)
 
 
-def test_merge_updates_only_listed_columns(spark):
-    target = spark.createDataFrame(
-        [("l", "1", "old", 1, "h1", "first"), ("l", "2", "same", 1, "h2", "first")],
-        COLUMNS + ", update_date string",
-    )
-    source = spark.createDataFrame(
-        [("l", "1", "new", 9, "h9"), ("l", "2", "same", 9, "h2"), ("l", "3", "add", 9, "h3")],
-        COLUMNS,
-    )
-    merged = merge_rows(target, source, RULE, F.lit("second"))
-    assert tuples(merged) == [
-        ("l", "1", "new", 1, "h9", "second"),
-        ("l", "2", "same", 1, "h2", "first"),
-        ("l", "3", "add", 9, "h3", "second"),
+def upserted(spark, batches, rule=RULE):
+    """The table after upserting the batches one by one, stamped 1, 2, ..."""
+    path = new_folder(spark, "test")
+    for run, rows in enumerate(batches, start=1):
+        upsert_table(path, spark.createDataFrame(rows, COLUMNS), rule, F.lit(str(run)), buckets=3)
+    return tuples(spark.read.parquet(path).drop("bucket"))
+
+
+def test_upsert_replaces_only_listed_columns(spark):
+    first = [("l", "1", "old", 1, "h1"), ("l", "2", "same", 1, "h2")]
+    second = [("l", "1", "new", 9, "h9"), ("l", "2", "same", 9, "h2"), ("l", "3", "add", 9, "h3")]
+    assert upserted(spark, [first, second]) == [
+        ("l", "1", "new", 1, "h9", "2"),
+        ("l", "2", "same", 1, "h2", "1"),
+        ("l", "3", "add", 9, "h3", "2"),
     ]
 
 
-def test_merge_ignores_older_versions(spark):
+def test_upsert_ignores_older_versions(spark):
     rule = UpsertRule(("a", "b"), ("v",), version="at")
-    target = spark.createDataFrame([("l", "1", "new", 5, "h5", "x")], COLUMNS + ", update_date string")
-    older = spark.createDataFrame([("l", "1", "old", 4, "h4"), ("l", "2", "add", 4, "h")], COLUMNS)
-    newer = spark.createDataFrame([("l", "1", "newer", 6, "h6")], COLUMNS)
-    assert {r.b: r.v for r in merge_rows(target, older, rule, F.lit("y")).collect()} == {
-        "1": "new",
-        "2": "add",
-    }
-    row = merge_rows(target, newer, rule, F.lit("y")).first()
-    assert (row.v, row["at"]) == ("newer", 6)
+    batches = [
+        [("l", "1", "new", 5, "h5")],
+        [("l", "1", "old", 4, "h4"), ("l", "2", "add", 4, "h")],
+        [("l", "1", "newer", 6, "h6")],
+    ]
+    assert upserted(spark, batches[:2], rule) == [
+        ("l", "1", "new", 5, "h5", "1"),
+        ("l", "2", "add", 4, "h", "2"),
+    ]
+    assert upserted(spark, batches, rule)[0] == ("l", "1", "newer", 6, "h6", "3")
 
 
 def test_upsert_table_rewrites_only_touched_buckets(spark):
