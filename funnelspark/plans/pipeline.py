@@ -15,7 +15,7 @@ from funnelspark.operators.upsert import UpsertRule, upsert_table
 from funnelspark.plans import gold, quality, reports, silver
 from funnelspark.sources.landing import extract_table, run_summary
 from funnelspark.sources.storage import open_table
-from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
+from funnelspark.streaming.ingest import load_bronze_tables, read_bronze, read_ledger
 from funnelspark.streaming.upserts import each_new_batch
 
 MISSING_KEY = "record without a key"
@@ -43,8 +43,9 @@ def extract(
 
 
 def load_bronze(spark: SparkSession, folders: Folders, run_ts: datetime) -> None:
-    for table in SOURCE_TABLES:
-        load_bronze_table(spark, folders.landing, folders.bronze, folders.checkpoints, table, run_ts)
+    load_bronze_tables(
+        spark, folders.landing, folders.bronze, folders.checkpoints, SOURCE_TABLES, run_ts
+    )
 
 
 def reconcile(spark: SparkSession, folders: Folders, now: datetime) -> DataFrame:

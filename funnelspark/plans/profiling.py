@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from funnelspark.config import OUTCOME_CODE
 from funnelspark.functions.values import text_at
 from funnelspark.operators.nested import string_leaves
-from funnelspark.operators.quarantine import parse_payload, parsed_rows
+from funnelspark.operators.quarantine import parse_payload
 from funnelspark.plans.silver import items_of
 from funnelspark.sources.landing import latest_raw, snapshot_date
 
 
 def parsed_source(raw: DataFrame, limit: int | None = None) -> DataFrame:
-    """Parsed documents of the newest ``limit`` raw rows, or of all of them."""
+    """Documents of the newest ``limit`` raw rows, or of all; NULL where parsing failed.
+
+    Flattening drops the NULLs. Filtering them out here would move the whole repair
+    into the filter as well and run it twice.
+    """
     rows = raw if limit is None else latest_raw(raw, limit)
     payload = F.try_parse_json("raw_data").alias("payload")
-    return parsed_rows(parse_payload(rows.select(payload, "insert_date")))
+    return parse_payload(rows.select(payload, "insert_date"))
 
 
 def newest_snapshot(raw: DataFrame) -> DataFrame:

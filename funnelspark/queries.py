@@ -16,7 +16,7 @@ from funnelspark.operators.upsert import upsert_table
 from funnelspark.plans import gold, metrics, pipeline, profiling, quality, reports, silver
 from funnelspark.sources import crm, landing
 from funnelspark.sources.storage import new_folder, written
-from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
+from funnelspark.streaming.ingest import load_bronze_tables, read_bronze, read_ledger
 from funnelspark.streaming.upserts import each_new_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,8 +222,7 @@ def _parsed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repair_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = quarantine.parsed_rows(_parsed_users(spark, sf_dir))
-    return silver.user_versions(parsed).drop("md5_hash")
+    return silver.user_versions(_parsed_users(spark, sf_dir)).drop("md5_hash")
 
 
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +281,7 @@ def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def field_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = crm.bronze_tables(spark, sf_dir)[c.CUSTOM_ACTIVITIES]
-    return silver.field_dictionary(quarantine.parsed_rows(silver.parse_object_text(bronze)))
+    return silver.field_dictionary(silver.parse_object_text(bronze))
 
 
 def _until(rows: DataFrame, last: datetime) -> DataFrame:
@@ -313,8 +312,8 @@ def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         landing.extract_table(
             spark, arrived, c.CRM_USERS, folders.landing, folders.state, run_ts
         )
-        load_bronze_table(
-            spark, folders.landing, folders.bronze, folders.checkpoints, c.CRM_USERS, run_ts
+        load_bronze_tables(
+            spark, folders.landing, folders.bronze, folders.checkpoints, [c.CRM_USERS], run_ts
         )
         each_new_batch(
             spark,

@@ -8,7 +8,7 @@ from funnelspark.config import CRM_USERS
 from funnelspark.functions.values import wall_clock, week_of
 from funnelspark.sources import landing
 from funnelspark.sources.storage import new_folder, shared_folder
-from funnelspark.streaming.ingest import load_bronze_table, read_bronze, read_ledger
+from funnelspark.streaming.ingest import load_bronze_tables, read_bronze, read_ledger
 
 RUN = datetime(2024, 3, 1, 13)
 
@@ -129,8 +129,8 @@ def test_files_load_once_and_bad_lines_count(spark):
         spark.createDataFrame([(x,) for x in content], "line string").coalesce(1).write.text(path)
 
     def load():
-        load_bronze_table(
-            spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", CRM_USERS, RUN
+        load_bronze_tables(
+            spark, f"{root}/landing", f"{root}/bronze", f"{root}/checkpoint", [CRM_USERS], RUN
         )
         return read_bronze(spark, f"{root}/bronze", CRM_USERS)
 
