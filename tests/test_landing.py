@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -28,6 +29,18 @@ def test_shared_folder_follows_the_setting(spark):
     assert spark.sparkContext.applicationId in folder
 
 
+def test_only_a_local_session_may_use_a_temporary_folder():
+    def session(master, setting):
+        conf = SimpleNamespace(get=lambda name, default: setting)
+        context = SimpleNamespace(master=master, applicationId="app-1")
+        return SimpleNamespace(conf=conf, sparkContext=context)
+
+    assert shared_folder(session("yarn", "/shared/")) == "/shared/funnelspark-app-1"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", None))
+    assert shared_folder(session("local[2]", None)) == shared_folder(session("local[2]", None))
+
+
 def test_envelope_lines(spark):
     rows = spark.sql(
         """SELECT '{"a":\n1}' AS raw_data, timestamp_ntz'2024-01-01 10:00:00' AS insert_date
