@@ -99,9 +99,7 @@ def _land_and_load(spark: SparkSession, lines: dict[str, DataFrame]) -> pipeline
     for table, rows in lines.items():
         size = rows.agg(landing.line_bytes()).first()[0]
         groups = landing.group_count(size, landing.BATCH_BYTES)
-        batched = landing.size_batches(
-            rows, landing.BATCH_BYTES, F.xxhash64("line"), ["insert_date"], groups
-        )
+        batched = landing.size_batches(rows, landing.BATCH_BYTES, ["insert_date"], groups)
         landing.write_landing(batched, folders.landing, table, FIRST_RUN)
     pipeline.load_bronze(spark, folders, FIRST_RUN)
     return folders
@@ -153,7 +151,7 @@ def size_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = landing.envelope(raw)
     groups = landing.group_count(lines.agg(landing.line_bytes()).first()[0], SMALL_BATCH_BYTES)
     batched = landing.size_batches(
-        lines, SMALL_BATCH_BYTES, F.col("event_id"), ["insert_date"], groups
+        lines, SMALL_BATCH_BYTES, ["insert_date", "event_id"], groups, spread=F.col("event_id")
     )
     return batched.groupBy("batch").agg(
         F.count("*").alias("lines"),

@@ -101,25 +101,33 @@ def line_bytes() -> Column:
 
 
 def size_batches(
-    lines: DataFrame, max_bytes: int, spread: Column, order: Sequence[str], groups: int
+    lines: DataFrame,
+    max_bytes: int,
+    order: Sequence[str],
+    groups: int,
+    spread: Column | None = None,
 ) -> DataFrame:
     """Add ``batch``: consecutive lines of a group until ``max_bytes`` is reached.
 
     A batch is closed by the line that reaches the limit, so it exceeds the limit
-    by less than one line. Groups come from ``spread``, which should be unique per
-    row; none of them grows with the table. ``opens_batch`` marks first lines.
+    by less than one line. Rows are dealt out evenly over the groups, however many
+    copies of a line there are, or follow ``spread`` if it is unique per row; so no
+    group grows with the table. ``opens_batch`` marks first lines.
     """
-    grouped = lines.withColumn("_spread", spread).withColumn(
-        "_group", F.pmod("_spread", F.lit(groups)).cast("long")
-    )
-    in_order = Window.partitionBy("_group").orderBy(*order, "_spread")
+    if spread is None:
+        # Dealing is repeatable: Spark orders each partition's rows before it.
+        dealt = lines.repartition(groups).withColumn("_group", F.spark_partition_id())
+    else:
+        dealt = lines.withColumn("_group", F.pmod(spread, F.lit(groups)))
+    in_order = Window.partitionBy("_group").orderBy(*order, F.xxhash64("line"))
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
     written = F.coalesce(F.sum(F.octet_length("line")).over(before), F.lit(0))
     # Batch numbers of the groups interleave.
-    numbered = grouped.withColumn("batch", F.floor(written / max_bytes) * groups + F.col("_group"))
+    number = F.floor(written / max_bytes) * groups + F.col("_group")
+    numbered = dealt.withColumn("batch", number.cast("long"))
     previous = F.lag("batch").over(in_order)
     opens = ~previous.eqNullSafe(F.col("batch"))
-    return numbered.withColumn("opens_batch", opens).drop("_group", "_spread")
+    return numbered.withColumn("opens_batch", opens).drop("_group")
 
 
 def write_landing(lines: DataFrame, landing: str, table: str, run_ts: datetime) -> None:
@@ -159,9 +167,7 @@ def extract_table(
     if count == 0:
         return Extraction(table, 0, 0, False, low)
     lines = envelope(after_checkpoint(rows, low, F.lit(high).cast("timestamp_ntz")))
-    batched = size_batches(
-        lines, max_bytes, F.xxhash64("line"), ["insert_date"], group_count(size, max_bytes)
-    )
+    batched = size_batches(lines, max_bytes, ["insert_date"], group_count(size, max_bytes))
     written = Observation()
     observed = batched.observe(
         written, F.count("*").alias("rows"), F.count_if("opens_batch").alias("batches")

@@ -72,7 +72,7 @@ def test_wall_clock_ignores_the_session_time_zone(spark):
 def test_batches_stay_near_the_limit(spark, groups):
     limit = 1000
     lines = landing.envelope(source(spark, 20)).withColumn("n", F.octet_length("line"))
-    batched = landing.size_batches(lines, limit, F.xxhash64("line"), ["insert_date"], groups)
+    batched = landing.size_batches(lines, limit, ["insert_date"], groups)
     rows = batched.collect()
     assert len(rows) == 200
     batches = {}
@@ -84,6 +84,17 @@ def test_batches_stay_near_the_limit(spark, groups):
     assert len(batches) > groups
 
 
+def test_copies_of_one_line_are_dealt_evenly(spark):
+    """Half of the rows are the same line; no group gets more than its share."""
+    rows = spark.range(4000).selectExpr(
+        "IF(id % 2 = 0, '{}', concat('{\"id\": ', id, '}')) AS raw_data",
+        "timestamp_ntz'2024-01-01' AS insert_date",
+    )
+    batched = landing.size_batches(landing.envelope(rows), 10**9, ["insert_date"], 4)
+    sizes = [row["count"] for row in batched.groupBy("batch").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 1100
+
+
 def test_extraction_moves_forward(spark):
     root = new_folder(spark, "test")
     state, folder = f"{root}/state", f"{root}/landing"
