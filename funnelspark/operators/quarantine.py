@@ -15,7 +15,9 @@ PARSE_ERROR = "no JSON document after repair"
 
 def parse_repaired(rows: DataFrame, text: Column) -> DataFrame:
     """Add ``raw_payload``, ``repaired`` and ``parsed`` (NULL when hopeless)."""
-    repaired = rows.withColumn("raw_payload", text).withColumn("repaired", repair_quotes(F.col("raw_payload")))
+    repaired = rows.withColumn("raw_payload", text).withColumn(
+        "repaired", repair_quotes(F.col("raw_payload"))
+    )
     wrapped = repaired.withColumn("_wrapped", wrapped_document(F.col("repaired")))
     return wrapped.withColumn("parsed", whole_document(F.col("_wrapped"))).drop("_wrapped")
 
@@ -24,7 +26,9 @@ def parsed_rows(rows: DataFrame) -> DataFrame:
     return rows.where("parsed IS NOT NULL")
 
 
-def failures(rows: DataFrame, source_table: str, run_ts: Column, detail: str = PARSE_ERROR) -> DataFrame:
+def failures(
+    rows: DataFrame, source_table: str, run_ts: Column, detail: str = PARSE_ERROR
+) -> DataFrame:
     return rows.where("parsed IS NULL").select(
         F.lit(source_table).alias("source_table"),
         "raw_payload",

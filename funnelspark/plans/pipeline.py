@@ -27,12 +27,37 @@ class Folders:
 
     root: str
 
-    def __getattr__(self, part: str) -> str:
-        return f"{self.root}/{part}"
+    @property
+    def landing(self) -> str:
+        return f"{self.root}/landing"
+
+    @property
+    def state(self) -> str:
+        return f"{self.root}/state"
+
+    @property
+    def bronze(self) -> str:
+        return f"{self.root}/bronze"
+
+    @property
+    def silver(self) -> str:
+        return f"{self.root}/silver"
+
+    @property
+    def reconciliation(self) -> str:
+        return f"{self.root}/reconciliation"
+
+    @property
+    def checkpoints(self) -> str:
+        return f"{self.root}/checkpoints"
 
 
 def extract(
-    spark: SparkSession, sources: Mapping[str, DataFrame], folders: Folders, run_ts: datetime, **options
+    spark: SparkSession,
+    sources: Mapping[str, DataFrame],
+    folders: Folders,
+    run_ts: datetime,
+    **options,
 ) -> DataFrame:
     """Land what is new in every source table; one summary row per table."""
     runs = [
@@ -42,10 +67,12 @@ def extract(
     return run_summary(spark, runs)
 
 
-def load_bronze(spark: SparkSession, folders: Folders, run_ts: datetime) -> None:
+def load_bronze(spark: SparkSession, folders: Folders, run_ts: datetime) -> DataFrame:
+    """Load the files not loaded before; one summary row per file."""
     load_bronze_tables(
         spark, folders.landing, folders.bronze, folders.checkpoints, SOURCE_TABLES, run_ts
     )
+    return read_ledger(spark, folders.bronze).where(F.col("load_time") == _stamp(run_ts))
 
 
 def reconcile(spark: SparkSession, folders: Folders, now: datetime) -> DataFrame:

@@ -95,9 +95,8 @@ def items_of(rows: DataFrame, document: str, item: str) -> DataFrame:
 def field_dictionary(parsed: DataFrame) -> DataFrame:
     """One row per (field, activity type), from the newest snapshot that lists it."""
     types = items_of(parsed.select("insert_date", "parsed"), "parsed", "type")
-    pairs = explode_items(
-        types.select("insert_date", "type"), F.try_variant_get("type", "$.fields", "variant"), "field"
-    )
+    fields = F.try_variant_get("type", "$.fields", "variant")
+    pairs = explode_items(types.select("insert_date", "type"), fields, "field")
     named = pairs.select(
         text_at(F.col("type"), "id").alias("custom_activity_type_id"),
         text_at(F.col("type"), "name").alias("custom_activity_type_name"),
@@ -114,7 +113,8 @@ def field_dictionary(parsed: DataFrame) -> DataFrame:
         F.col("field_type").desc_nulls_first(),
         F.col("is_archived").desc_nulls_first(),
     ]
-    return latest_per_key(named, ["field_id", "custom_activity_type_id"], newest).drop("insert_date")
+    latest = latest_per_key(named, ["field_id", "custom_activity_type_id"], newest)
+    return latest.drop("insert_date")
 
 
 def content_hash(record: Column) -> Column:

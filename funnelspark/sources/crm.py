@@ -310,7 +310,7 @@ def _core_document(legacy: bool) -> str:
         if legacy and identity == "actitype_5":
             names = (*names, "Legacy Note")
         fields = ", ".join(
-            f"{{'id': '{field_id(n)}', 'name': '{n}', 'type': '{_field_type(n)}'}}" for n in names
+            f"{{'id': '{field_id(n)}', 'name': '{n}', 'type': '{field_type(n)}'}}" for n in names
         )
         types.append(
             f"{{'id': '{identity}', 'name': '{name}', "
@@ -319,7 +319,7 @@ def _core_document(legacy: bool) -> str:
     return "{'data': [" + ", ".join(types) + "]}"
 
 
-def _field_type(name: str) -> str:
+def field_type(name: str) -> str:
     if name in ("Setter", "Closer"):
         return "user"
     return "choices" if "Outcome" in name or "Objections" in name else "text"
@@ -341,7 +341,9 @@ def crm_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = _quoted(
         {
             "id": F.concat(F.lit("user_"), n),
-            "email": F.when(n % 9 != 8, F.concat(F.lit("agent"), n, F.lit("@"), _pick(DOMAINS, n % 6))),
+            "email": F.when(
+                n % 9 != 8, F.concat(F.lit("agent"), n, F.lit("@"), _pick(DOMAINS, n % 6))
+            ),
             "first_name": F.when(n % 13 != 12, F.when(n % 6 == 1, 'Al "Ace"').otherwise("Agent")),
             "last_name": F.when(n % 4 == 0, F.concat(F.lit("O'Hara "), n)).otherwise(
                 F.concat(F.lit("Smith "), n)

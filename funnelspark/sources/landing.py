@@ -49,7 +49,9 @@ def advance_checkpoint(spark: SparkSession, state: str, table: str, mark: dateti
     spark.createDataFrame([(table, mark)], _MARKS).write.mode("append").parquet(state)
 
 
-def after_checkpoint(rows: DataFrame, low: datetime | Column, high: Column | None = None) -> DataFrame:
+def after_checkpoint(
+    rows: DataFrame, low: datetime | Column, high: Column | None = None
+) -> DataFrame:
     """Rows with ``low < insert_date``, up to and including ``high`` when given."""
     low = low if isinstance(low, Column) else F.lit(low).cast("timestamp_ntz")
     newer = rows.where(F.col("insert_date") > low)
