@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from funnelspark.sources.storage import written
 
@@ -179,8 +179,3 @@ def with_columns(df: DataFrame, **types) -> StructType:
     """The schema of ``df`` with more columns."""
     return StructType([*df.schema.fields, *(StructField(name, kind) for name, kind in types.items())])
 
-
-__all__ = [
-    "F", "LongType", "PLAIN", "SPACED", "StringType", "Words", "byte_table", "components", "free_name",
-    "lower", "mix", "slices", "table", "text_digest", "utf8", "with_columns", "written",
-]
