@@ -14,8 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
-from __spark_entry__ import queries
-from funnelspark.queries import silver_of
+from funnelspark.queries import QUERIES, silver_of
 
 
 def main() -> None:
@@ -41,7 +40,7 @@ def main() -> None:
         job(spark, sf_dir).write.format("noop").mode("overwrite").save()
         return round(time.perf_counter() - start, 3)
 
-    registered = queries()
+    registered = dict(QUERIES)
     times = {"silver_build": run(registered.pop("silver_build"))}
     silver_of(spark, sf_dir)
     for name, job in registered.items():

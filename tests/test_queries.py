@@ -3,13 +3,13 @@ from compare import connect, duck_table, spark_table, type_differences
 from conftest import SMALLEST
 
 import __spark_entry__ as entry
-
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+from funnelspark.oracle import ORACLE
+from funnelspark.queries import QUERIES
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.fixture(scope="module")
