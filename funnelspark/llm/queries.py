@@ -153,7 +153,7 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)
     "op9_embedding_links": """
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-  WHERE list_aggregate(list_transform(embedding, x -> CAST(x AS DOUBLE) * x), 'sum') > 0
+  WHERE list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0
 ),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v AS a JOIN v AS b
