@@ -30,7 +30,7 @@ from funnelspark.llm.common import free_name, slices, with_columns
 
 MARK = "▁"
 #: Words whose ids a worker remembers; then it starts anew.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 #: Characters read before the ids up to the meeting place of all paths are given out.
 WINDOW = 256
 _NEVER = float("inf")
