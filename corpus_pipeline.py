@@ -51,7 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document, and whether they decode to its text."""
     model = sentencepiece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
-    coded = sentencepiece_codec.round_trip(docs.select("doc_id", "lang", "source", "text"), model)
+    coded = sentencepiece_codec.encode(docs.select("doc_id", "lang", "source", "text"), model)
     return coded.select("doc_id", "lang", "source", "n_tokens", "same", "ids")
 
 

@@ -12,8 +12,8 @@ from pyspark.sql.types import StructField, StructType
 
 from funnelspark.sources.storage import written
 
-SLICE_BYTES = 2 << 20
-_HASHED_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+_HASHED_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 

@@ -31,7 +31,7 @@ SAMPLE_CHARS = 600
 UNKNOWN = "und"
 STEPS = 260
 BATCH = 128
-_SCORED_WINDOWS = 4096
+_SCORED_WINDOWS = 2048
 
 
 def _gate(x: np.ndarray) -> np.ndarray:

@@ -81,7 +81,7 @@ def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = sentencepiece_codec.read_model(f"{TOKENIZERS}/piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentencepiece_codec.round_trip(docs, model).select("doc_id", "n_tokens", "same", "ids")
+    return sentencepiece_codec.encode(docs, model).select("doc_id", "n_tokens", "same", "ids")
 
 
 def op7_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:

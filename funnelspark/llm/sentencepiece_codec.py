@@ -15,7 +15,6 @@ the library. With ``unigram`` the path with the largest sum of scores is taken.
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -23,16 +22,19 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType
 
 from funnelspark.llm.common import free_name, slices, with_columns
 
 MARK = "▁"
 #: Words whose ids a worker remembers; then it starts anew.
 CACHED_WORDS = 100_000
+#: Longer words are searched one by one, in windows.
+LONG_WORD = 40
+LEARNED_AT_ONCE = 10_000
 #: Characters read before the ids up to the meeting place of all paths are given out.
 WINDOW = 256
+_PAIR_BITS = 20
 _NEVER = float("inf")
 
 
@@ -81,26 +83,117 @@ class Codec:
             raise ValueError("a piece of the model spans words")
         self.longest = max(map(len, self.rank))
         self.unknown_score = min(self.scores[i] for i in self.steps.values() if i) - 10
+        # The prefixes of pieces as a tree: edges (node, character) and the node each leads to.
+        nodes = {prefix: k for k, prefix in enumerate(["", *sorted(self.steps)])}
+        keys = np.array([nodes[p[:-1]] << 21 | ord(p[-1]) for p in nodes if p], np.int64)
+        order = np.argsort(keys)
+        self.edges, self.children = keys[order], np.array([k for p, k in nodes.items() if p], np.int64)[order]
+        self.node_piece = np.array([0, *(self.steps[p] for p in nodes if p)], np.int32)
+        self.pairs, self.pairs_agree = np.full(1 << _PAIR_BITS, -1), np.zeros(1 << _PAIR_BITS, bool)
         self._borders = _Cache(self._borders_of)
         self._agree = _Cache(self._left_alone)
         self.line = "\n" if any("\n" in piece for piece in self.rank) else " \n"
-        self.words = _Cache(self._word)
+        self.words: dict[str, tuple[int, ...]] = {}
 
-    def encode(self, text: str) -> array:
-        out = array("i")
-        self.extend(out, text)
-        return out
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0].tolist()
 
-    def extend(self, out: array, text: str) -> None:
-        """Append the ids of ``text``; a space mark is put before a text that is not empty."""
-        if not text:
-            return
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text; a space mark is put before a text that is not empty."""
+        cut = [self._cut(text) if text else [] for text in texts]
+        if len(self.words) > CACHED_WORDS:
+            self.words.clear()
+        words = self.words
+        self._learn([w for w in set(chain.from_iterable(cut)) if w not in words])
+        return [np.fromiter(chain.from_iterable(map(words.__getitem__, c)), np.int32) for c in cut]
+
+    def _cut(self, text: str) -> list[str]:
         # A mark in the text is a space, as in the library. A line's end that no piece holds
         # begins a word of its own, one without mark.
         words = text.replace(MARK, " ").replace("\n", self.line).split(" ")
-        if "" in words:
-            words = list(self._with_spaces(words))
-        out.extend(chain.from_iterable(map(self.words.__getitem__, words)))
+        return list(self._with_spaces(words)) if "" in words else words
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words: the same search, place by place for all words at once."""
+        rest = []
+        for begin in range(0, len(words), LEARNED_AT_ONCE):
+            some = words[begin : begin + LEARNED_AT_ONCE]
+            heads = [len(self.line) > 1 and w.startswith("\n") for w in some]
+            texts = [w[1:] if head else MARK + w for w, head in zip(some, heads, strict=True)]
+            short = [len(t) <= LONG_WORD for t in texts] if not self.unigram else [False] * len(texts)
+            rest += [w for w, ok in zip(some, short, strict=True) if not ok]
+            keep = [k for k, ok in enumerate(short) if ok]
+            found = self._together([texts[k] for k in keep])
+            for k, ids in zip(keep, found, strict=True):
+                if ids is None:
+                    rest.append(some[k])
+                else:
+                    self.words[some[k]] = (self.byte_ids[10], *ids) if heads[k] else ids
+        for word in rest:
+            self.words[word] = self._word(word)
+
+    def _together(self, texts: list[str]) -> list[tuple[int, ...] | None]:
+        """Ids of short texts, None for one with a character that is no piece."""
+        codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        if not len(codes):
+            return [()] * len(texts)
+        first = np.cumsum(lengths) - lengths
+        # A text has one slot more than characters: the place after each.
+        slot_of = first + np.arange(len(texts))
+        left = np.repeat(first + lengths, lengths) - np.arange(len(codes))
+        pieces = np.zeros((self.longest + 1, len(codes)), np.int32)
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
+        for size in range(1, self.longest + 1):
+            alive = left[at] >= size
+            at, node = at[alive], node[alive]
+            key = node << 21 | codes[at + size - 1]
+            place = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            alive = self.edges[place] == key
+            at, node = at[alive], self.children[place[alive]]
+            pieces[size, at] = self.node_piece[node]
+        sizes = np.zeros(len(codes) + len(texts), np.int64)
+        numbers = np.zeros(len(codes) + len(texts), np.int64)
+        for offset in range(int(lengths.max())):
+            some = np.flatnonzero(lengths > offset)
+            where, slot = first[some] + offset, slot_of[some] + offset
+            for size in range(1, self.longest + 1):
+                number = pieces[size, where]
+                usable = number > 0
+                if not usable.any():
+                    continue
+                own, number = slot[usable], number[usable].astype(np.int64)
+                fresh = sizes[own + size] == 0
+                own, number = own[fresh], number[fresh]
+                good = self._agreed(numbers[own] << 20 | number)
+                own, number = own[good], number[good]
+                sizes[own + size], numbers[own + size] = size, number
+        end = np.zeros(len(sizes), bool)
+        here = slot_of + lengths
+        known = np.ones(len(texts), bool)
+        while True:
+            moving = np.flatnonzero((here > slot_of) & known)
+            if not len(moving):
+                break
+            end[here[moving]] = True
+            known[moving] = sizes[here[moving]] > 0
+            here[moving] -= sizes[here[moving]]
+        total = np.concatenate([[0], np.cumsum(end)])
+        edges = total[np.append(slot_of, len(sizes))].tolist()
+        flat = numbers[end].tolist()
+        return [tuple(flat[a:b]) if ok else None for a, b, ok in zip(edges, edges[1:], known.tolist(), strict=False)]
+
+    def _agreed(self, pairs: np.ndarray) -> np.ndarray:
+        """Whether each pair of neighbouring pieces is left alone; a table remembers the latest."""
+        place = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - _PAIR_BITS)).astype(np.int64)
+        said = self.pairs_agree[place]
+        new = np.flatnonzero(self.pairs[place] != pairs)
+        if len(new):
+            fresh, number = np.unique(pairs[new], return_inverse=True)
+            found = np.array([self._left_alone(p) for p in fresh.tolist()], bool)
+            said[new] = found[number]
+            self.pairs[place[new]], self.pairs_agree[place[new]] = pairs[new], said[new]
+        return said
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -258,31 +351,34 @@ def read_model(path: str) -> bytes:
 
 
 def encode(docs: DataFrame, model: bytes, text_column: str = "text", unigram: bool = False) -> DataFrame:
-    """``docs`` with ``ids`` (array of int): null for null text, empty for an empty one.
+    """``docs`` with ``ids`` (array of int), ``n_tokens`` (long) and ``same`` (boolean).
 
-    A name that ``docs`` has already gets a trailing ``_``. Decoding gives the text back,
-    except that the mark U+2581 in a text comes back as a space, as in the library.
+    ``same`` tells whether the ids decode to the text; only the mark U+2581 in a text comes
+    back as a space, as in the library. All three are null for null text; an empty text has
+    no ids. Names that ``docs`` has already get a trailing ``_``.
     """
-    name = free_name(docs, "ids")
+    names = [free_name(docs, n) for n in ("ids", "n_tokens", "same")]
+    kinds = (ArrayType(IntegerType()), LongType(), BooleanType())
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, unigram)
         for batch in batches:
             for part in slices(batch, text_column):
-                flat, ends, valid = array("i"), [0], []
-                for text in part.column(text_column):
-                    valid.append(text.is_valid)
-                    if text.is_valid:
-                        codec.extend(flat, text.as_py())
-                    ends.append(len(flat))
-                lists = pa.ListArray.from_arrays(
-                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()),
-                    mask=pa.array([not v for v in valid], pa.bool_()),
-                )
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, name])
-
-    return docs.mapInArrow(work, with_columns(docs, **{name: ArrayType(IntegerType())}))
+                texts = part.column(text_column).to_pylist()
+                found = codec.encode_all(texts)
+                same = [t is not None and codec.decode(f.tolist()) == t.replace(MARK, " ") for t, f in zip(texts, found, strict=True)]
+                missing = np.array([t is None for t in texts], bool)
+                sizes = np.array([len(f) for f in found], np.int64)
+                ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+                flat = pa.array(np.concatenate([np.zeros(0, np.int32), *found]))
+                new = [
+                    pa.ListArray.from_arrays(ends, flat, mask=pa.array(missing)),
+                    pa.array(sizes, mask=missing), pa.array(same, mask=missing),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *names])
+
+    return docs.mapInArrow(work, with_columns(docs, **dict(zip(names, kinds, strict=True))))
 
 
 def decode(rows: DataFrame, model: bytes, ids_column: str = "ids") -> DataFrame:
@@ -305,21 +401,3 @@ def decode(rows: DataFrame, model: bytes, ids_column: str = "ids") -> DataFrame:
             )
 
     return rows.mapInArrow(work, with_columns(rows, **{name: StringType()}))
-
-
-def round_trip(docs: DataFrame, model: bytes, text_column: str = "text") -> DataFrame:
-    """``docs`` with ``ids``, ``n_tokens`` and ``same``: whether the ids decode to the text.
-
-    All three are null for null text.
-    """
-    coded = encode(docs, model, text_column)
-    ids = coded.columns[-1]
-    tokens, same = free_name(coded, "n_tokens"), free_name(coded, "same")
-    shown = decode(coded, model, ids)
-    decoded = shown.columns[-1]
-    return shown.withColumns(
-        {
-            tokens: F.when(F.col(ids).isNotNull(), F.size(ids).cast("long")),
-            same: F.col(decoded) == F.translate(F.col(text_column), MARK, " "),
-        }
-    ).drop(decoded)
