@@ -1,4 +1,6 @@
+import os
 from datetime import datetime, timedelta
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -168,6 +170,11 @@ def test_files_load_once_and_bad_lines_count(spark):
     assert load().count() == 4
     ledger = read_ledger(spark, f"{root}/bronze").orderBy(F.col("row_parsed").desc()).collect()
     assert [(r.row_parsed, r.row_count, r.error_count) for r in ledger] == [(5, 3, 2), (1, 1, 0)]
+    # A file that arrives with an old modification time is loaded too.
+    write(2, [good, good])
+    for part in Path(folder.replace("batch=0", "batch=2")).glob("part-*"):
+        os.utime(part, (1_500_000_000, 1_500_000_000))
+    assert load().count() == 6
 
 
 def test_jdbc_reader_needs_a_driver(spark):
