@@ -240,6 +240,8 @@ class Codec:
         longest, steps, agree, n = self.longest, self.steps, self._agree, len(text)
         sizes, numbers = [0] * (n + 1), [before] * (n + 1)
         for at in range(n):
+            if at and not sizes[at]:
+                continue  # only a path that is given up already leads here
             before = numbers[at] << 20
             number = steps.get(text[at], -1)
             if not sizes[at + 1] and (number <= 0 or agree[before | number]):
@@ -256,6 +258,8 @@ class Codec:
         longest, steps, n = self.longest, self.steps, len(text)
         sizes, numbers, best = [0] * (n + 1), [before] * (n + 1), [0.0, *[-1e300] * n]
         for at in range(n):
+            if at and not sizes[at]:
+                continue
             for end in range(at + 1, min(n, at + longest) + 1):
                 number = steps.get(text[at:end], -1 if end == at + 1 else None)
                 if number is None:
