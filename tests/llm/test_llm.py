@@ -249,7 +249,7 @@ def test_toxic_spans(spark, docs, empty):
     rng = np.random.default_rng(5)
     texts = [" ".join(rng.choice(WORDS, 40)) for _ in range(300)]
     bad = [i % 3 == 0 for i in range(300)]
-    texts = [f"{t} vile{WORDS[i % 5]} {t[:20]}" if b else t for i, (t, b) in enumerate(zip(texts, bad, strict=True))]
+    texts = [f"{t} vile{WORDS[i % 5]} {' '.join(t.split()[:4])}" if b else t for i, (t, b) in enumerate(zip(texts, bad, strict=True))]
     model = toxicity.train(texts[:200], [int(b) for b in bad[:200]])
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = {r["doc_id"]: r for r in toxicity.tag(frame, model).collect()}
