@@ -15,8 +15,8 @@ from funnelspark.sources.storage import open_table, written
 class UpsertRule:
     """Rows match on ``keys``; a different hash replaces only ``updated`` columns.
 
-    With a ``version`` column, only a source row of a greater version replaces the
-    stored one, so batches may arrive in any order.
+    With a ``version`` column, only a source row of a version greater than any seen for
+    its key replaces the stored one, so batches may arrive in any order.
     """
 
     keys: Sequence[str]
@@ -80,6 +80,9 @@ def upsert_table(
     the buckets they fall into are rewritten. Running it again changes nothing. A
     stored row keeps its bucket, so ``buckets`` may differ between runs; by default
     there are as many as shuffle partitions.
+
+    A newer version with unchanged content is noted in a narrow table beside the wide
+    one (``<path>_versions``, appended to), so nothing wide is rewritten for it.
     """
     if buckets is None:
         buckets = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -103,12 +106,29 @@ def upsert_table(
     known = target.select(
         *rule.keys, F.col(rule.hash_column).alias("_hash"), F.col("bucket").alias("_bucket")
     )
+    differs = F.col("_hash") != F.col(rule.hash_column)
+    if rule.version:
+        version = F.col(rule.version)
+        seen_path = f"{path.rstrip('/')}_versions"
+        noted = open_table(seen_path, target.select(*rule.keys, version))
+        seen = (
+            target.select(*rule.keys, version)
+            .unionByName(noted)
+            .groupBy(*rule.keys)
+            .agg(F.max(version).alias("_seen"))
+        )
+        known = known.join(seen, list(rule.keys))
+        newer = version > F.col("_seen")
+        differs = differs & newer
+        unchanged = (F.col("_hash") == F.col(rule.hash_column)) & newer
+        met = source.select(*rule.keys, rule.hash_column, version).join(known, list(rule.keys))
+        advanced = written(met.where(unchanged).select(*rule.keys, version), "versions")
     delta = (
         source.join(known, list(rule.keys), "left")
-        .where(F.col("_hash").isNull() | (F.col("_hash") != F.col(rule.hash_column)))
+        .where(F.col("_hash").isNull() | differs)
         .withColumn("_unknown", F.col("_hash").isNull())
         .withColumn("bucket", F.coalesce("_bucket", "bucket"))
-        .drop("_hash", "_bucket")
+        .drop("_hash", "_bucket", "_seen")
     )
     delta = written(delta, "delta")
     touched = [row.bucket for row in delta.select("bucket").distinct().collect()]  # <= buckets
@@ -117,3 +137,5 @@ def upsert_table(
         changes = delta.where("NOT _unknown")
         added = new_rows(delta.where("_unknown").drop("_unknown"), run_ts)
         write(updated_rows(kept, changes, rule, run_ts).unionByName(added))
+    if rule.version:
+        advanced.write.mode("append").parquet(seen_path)

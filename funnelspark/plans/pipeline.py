@@ -146,13 +146,21 @@ def build_silver(
     return read_silver(spark, root)
 
 
+def newest_version(rule: UpsertRule) -> UpsertRule:
+    """The rule of daily runs: a newer version replaces all columns, times included."""
+    times = ("activity_at", "insert_date") if "activity_id" in rule.keys else ("insert_date",)
+    return replace(rule, version="version", updated=(*rule.updated, *times))
+
+
 def update_silver(
     spark: SparkSession, folders: Folders, run_ts: datetime, buckets: int | None = None
 ) -> silver.Silver:
     """Bring silver up to date from the bronze rows not processed before.
 
-    The result is that of ``build_silver`` over all of bronze, in whatever order the
-    rows arrived: the newest version wins.
+    In whatever order and slices the rows arrive, the newest version wins with all its
+    columns, times included. Only ``insert_date`` may differ from one build over all of
+    bronze: it is that of a snapshot of the content, not always of its newest one.
+    The catalog is read whole.
     """
     root = folders.silver
     rebuild_dictionary(read_bronze(spark, folders.bronze, CUSTOM_ACTIVITIES), root, run_ts)
@@ -160,7 +168,7 @@ def update_silver(
         (CRM_USERS, upsert_users, silver.USER_RULE),
         (LEAD_ACTIVITIES, upsert_activities, silver.ACTIVITY_RULE),
     ):
-        newest_wins = replace(rule, version="version")
+        newest_wins = newest_version(rule)
         each_new_batch(
             spark,
             f"{folders.bronze}/{table}",
