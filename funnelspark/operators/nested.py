@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from funnelspark.sources.storage import written
+
+#: Levels opened in one pass.
+LEVELS = 6
+
 
 def explode_items(df: DataFrame, array: Column, item: str) -> DataFrame:
     """One row per element of a variant array; none for a missing array."""
@@ -12,16 +19,27 @@ def explode_items(df: DataFrame, array: Column, item: str) -> DataFrame:
     return flat.withColumnRenamed("value", item).drop("pos", "key")
 
 
-def string_leaves(df: DataFrame, document: str, max_depth: int = 6) -> DataFrame:
+def string_leaves(df: DataFrame, document: str) -> DataFrame:
     """(key_path, value) of every string at any level of a variant column.
 
-    Each level opens the containers and passes everything else through, so one
-    scan walks the whole tree. List positions are not part of the path. A document
-    nested deeper than ``max_depth`` raises instead of losing its leaves.
+    List positions are not part of the path. One pass opens ``LEVELS`` levels and is
+    written; what is still a container then goes through the next pass, until none is
+    left, so no depth is too great and usual documents are scanned once.
     """
-    tvf = df.sparkSession.tvf
     tree = df.select(F.lit("").alias("key_path"), F.col(document).alias("node"))
-    for _ in range(max_depth):
+    passes = []
+    while True:
+        walked = written(_opened(tree), "leaves")
+        passes.append(walked.where("value IS NOT NULL").select("key_path", "value"))
+        tree = walked.where("node IS NOT NULL").select("key_path", "node")
+        if tree.isEmpty():
+            return reduce(DataFrame.unionByName, passes)
+
+
+def _opened(tree: DataFrame) -> DataFrame:
+    """Strings as ``value`` and deeper containers as ``node``, other leaves left out."""
+    tvf = tree.sparkSession.tvf
+    for _ in range(LEVELS):
         opened = tree.lateralJoin(tvf.variant_explode_outer(F.col("node").outer()))
         tree = opened.select(
             F.when(F.col("key").isNull(), F.col("key_path"))
@@ -31,18 +49,11 @@ def string_leaves(df: DataFrame, document: str, max_depth: int = 6) -> DataFrame
             F.when(F.col("pos").isNull(), F.col("node")).otherwise(F.col("value")).alias("node"),
         )
     kind = F.schema_of_variant("node")
-    unopened = (kind.startswith("OBJECT<") & (kind != "OBJECT<>")) | (
+    container = (kind.startswith("OBJECT<") & (kind != "OBJECT<>")) | (
         kind.startswith("ARRAY<") & (F.size(F.col("node").try_cast("array<variant>")) > 0)
     )
-    checked = tree.select(
+    return tree.select(
         "key_path",
-        "node",
-        F.when(
-            unopened, F.raise_error(F.lit(f"document is nested deeper than {max_depth} levels"))
-        )
-        .otherwise(kind)
-        .alias("kind"),
-    )
-    return checked.where("kind = 'STRING'").select(
-        "key_path", F.col("node").cast("string").alias("value")
-    )
+        F.when(kind == "STRING", F.col("node").cast("string")).alias("value"),
+        F.when(container, F.col("node")).alias("node"),
+    ).where("value IS NOT NULL OR node IS NOT NULL")

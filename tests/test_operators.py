@@ -4,7 +4,6 @@ from collections import Counter
 from datetime import date, datetime
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from funnelspark.functions import values
@@ -132,6 +131,19 @@ def test_upsert_ignores_older_versions(spark):
     assert upserted(spark, batches, rule)[0] == ("l", "1", "newer", 6, "h6", "3")
 
 
+def test_unchanged_snapshots_advance_the_version(spark):
+    """A, then A again, then a late B: A is the newest."""
+    rule = UpsertRule(("a", "b"), ("v",), version="at")
+    batches = [
+        [("l", "1", "A", 1, "hA")],
+        [("l", "1", "A", 3, "hA")],
+        [("l", "1", "B", 2, "hB")],
+    ]
+    assert upserted(spark, batches, rule)[0][2] == "A"
+    newest = [("l", "1", "B", 4, "hB")]
+    assert upserted(spark, [*batches, newest], rule)[0][2:4] == ("B", 4)
+
+
 def test_upsert_table_rewrites_only_touched_buckets(spark):
     path = new_folder(spark, "test")
     rows = [("l", str(i), f"v{i}", i, f"h{i}") for i in range(100)]
@@ -185,11 +197,12 @@ def test_string_leaves_of_random_trees(spark):
     assert Counter((row.key_path, row.value) for row in found) == expected
 
 
-def test_string_leaves_refuse_deeper_documents(spark):
-    deep = spark.sql("""SELECT parse_json('{"a":{"b":{"c":"x"}}}') AS d""")
-    assert nested.string_leaves(deep, "d", max_depth=3).count() == 1
-    with pytest.raises(PySparkException, match="nested deeper"):
-        nested.string_leaves(deep, "d", max_depth=2).collect()
+@pytest.mark.parametrize("depth", [6, 7, 20])
+def test_string_leaves_of_any_depth(spark, depth):
+    text = '{"a":' * depth + '["x", 1, {}, []]' + "}" * depth
+    deep = spark.createDataFrame([(text,), ('"top"',), (None,)], "t string")
+    found = nested.string_leaves(deep.selectExpr("parse_json(t) AS d"), "d").collect()
+    assert sorted(map(tuple, found)) == [("", "top"), (".".join("a" * depth), "x")]
 
 
 def test_explode_items(spark):
