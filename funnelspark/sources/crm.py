@@ -210,8 +210,8 @@ def lead_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     real_sale = sale & (e % 5 != 0)
     objections = F.array(_pick(OBJECTIONS, e % 13), _pick(OBJECTIONS, F.floor(e / 13) % 13))
     fields = {
-        "Setter": F.when(custom, F.concat(F.lit("user_"), (e * 7 + u) % 53)),
-        "Closer": F.when(strategy | sale, F.concat(F.lit("user_"), (e * 5 + u) % 41)),
+        "Setter": F.when(custom, _person((e * 7 + u) % 53)),
+        "Closer": F.when(strategy | sale, _person((e * 5 + u) % 41)),
         "Triage Call Outcome": F.when(kind == "view", _pick(TRIAGE_OUTCOMES, outcome)),
         "Prospecting Call Outcome": F.when(
             kind == "signup", _pick(PROSPECTING_OUTCOMES, outcome)
@@ -239,7 +239,7 @@ def lead_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     at = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     lead = F.concat(F.lit("lead_"), u)
-    actor = F.concat(F.lit("user_"), e % 43)
+    actor = _person(e % 43)
 
     def record(is_note: bool) -> Column:
         def given(value: Column) -> Column:
@@ -325,13 +325,18 @@ def field_type(name: str) -> str:
     return "choices" if "Outcome" in name or "Objections" in name else "text"
 
 
+def _person(number: Column) -> Column:
+    """The id of a user, or of one who left and is in no snapshot."""
+    prefix = F.when(number % 12 == 11, "former_").otherwise("user_")
+    return F.concat(prefix, number)
+
+
 def crm_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User snapshots as pseudo-JSON; some rows are cut off, empty or of another shape."""
     rows = _each_snapshot(_read(spark, sf_dir, "customer")).withColumn(
         "insert_date", _snapshot_time()
     )
     n, k = F.col("c_custkey"), F.col("k")
-    rows = rows.where(n % 12 != 11)
     changed = (k == 2) & (n % 10 == 3)
     role = (
         F.when(n % 5 == 1, "setter").when(n % 5 == 2, "closer").when(n % 5 == 3, "manager").when(
