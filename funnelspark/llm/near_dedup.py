@@ -5,8 +5,13 @@ number. A sketch is the 5 k-mers with the smallest hashes, in text order; docume
 agree in one of 30 sketches are candidates. Agreement needs the same order, so moved
 paragraphs count as different. A candidate pair is verified by banded alignment: with D
 shingles inserted or deleted between the two sequences, the similarity is
-``(a + b - D) / (a + b + D)``, and 0.8 or more means a near duplicate. At 0.8 a pair
-misses all sketches with probability 7e-6, and less above.
+``(a + b - D) / (a + b + D)``, and 0.8 or more means a near duplicate.
+
+Near duplicates share at least 0.8 of the k-mers of each. So of texts with up to ``EXACT``
+k-mers, the rarest are keys as well, one more than a near duplicate can lack: a
+pair whose shorter text has up to 20 is always a candidate. Without repeated shingles, a
+longer pair misses all sketches with probability 2.5e-5 at most (27 and 27 k-mers, 24 in
+common), near 7e-6 at 0.8 between long texts.
 
 Pairs of a bucket are not all emitted: a few of its members are compared with the others,
 linked ones become classes, and only members of different classes that still share a
@@ -30,10 +35,12 @@ SHINGLE = 5
 SAMPLED = 5
 SKETCHES = 30
 SIMILARITY = 0.8
+#: Texts with up to so many shingles find each other by single shingles, without chance.
+EXACT = 25
 #: Members of a bucket that those of its other classes are compared with in a round.
 PIVOTS = 4
 
-_SEEDS = mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64))
+_SEEDS = mix(np.arange(1, 2 * SKETCHES + 2, dtype=np.uint64))
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -48,27 +55,35 @@ def shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return words.text[found], hashes[found]
 
 
-def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A row of sketch keys for each text, and how many shingles it has."""
-    data, offsets = utf8(texts)
-    doc, grams = shingles(Words(lower(data), offsets, PLAIN))
-    n = len(offsets) - 1
-    counts = np.bincount(doc, minlength=n)
-    keys = np.zeros((n, SKETCHES), np.uint64)
-    if not len(doc):
-        return keys, counts
+def labelled(doc: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Hashes of shingles and their occurrence number within their text."""
     order = np.lexsort((grams, doc))
     fresh = np.ones(len(doc), bool)
     fresh[1:] = (grams[order][1:] != grams[order][:-1]) | (doc[order][1:] != doc[order][:-1])
     begin = np.flatnonzero(fresh)
     nth = np.zeros(len(doc), np.uint64)
     nth[order] = np.arange(len(doc)) - begin[np.cumsum(fresh) - 1]
-    grams = mix(grams + nth * np.uint64(0xC2B2AE3D27D4EB4F))
+    return mix(grams + nth * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def sketches(texts: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Text number and key of each sketch, and of all shingles of texts that have few."""
+    data, offsets = utf8(texts)
+    doc, grams = shingles(Words(lower(data), offsets, PLAIN))
+    n = len(offsets) - 1
+    counts = np.bincount(doc, minlength=n)
+    grams = labelled(doc, grams)
+    few = np.flatnonzero(counts[doc] <= EXACT)
+    singles = doc[few], mix(grams[few] ^ _SEEDS[-1])
+    owners, keys = [doc[:0]], [grams[:0]]
+    # Shorter texts have no near duplicate beyond EXACT.
+    many = counts > int(EXACT * SIMILARITY + 1e-9)
+    doc, grams = doc[many[doc]], grams[many[doc]]
     # About four times the sample lies below this bound; only those are ranked.
     share = np.minimum(1.0, 4 * SAMPLED / np.maximum(counts, 1))
     bound = np.where(share < 1, (share * 2.0**63).astype(np.uint64) * np.uint64(2), _MOST)[doc]
-    needed = np.minimum(SAMPLED, counts)
-    for j in range(SKETCHES):
+    needed = np.where(many, SAMPLED, 0)
+    for j in range(SKETCHES if len(doc) else 0):
         values = mix(grams ^ _SEEDS[j])
         low = values <= bound
         lacking = np.bincount(doc[low], minlength=n) < needed
@@ -81,8 +96,17 @@ def sketches(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         place = _rank(owner).astype(np.uint64)
         parts = mix(grams[chosen] + (place + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
-        keys[owner[starts], j] = mix(np.add.reduceat(parts, starts) ^ _SEEDS[SKETCHES + j])
-    return keys, counts
+        owners.append(owner[starts])
+        keys.append(mix(np.add.reduceat(parts, starts) ^ _SEEDS[SKETCHES + j]))
+    owner = np.concatenate(owners)
+    order = np.argsort(owner, kind="stable")
+    return (owner[order], np.concatenate(keys)[order]), singles
+
+
+def _lists(owner: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
+    """A list of 64-bit values for each of n owners."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values.view(np.int64)))
 
 
 def _rank(groups: np.ndarray) -> np.ndarray:
@@ -250,12 +274,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                keys, counts = sketches(part.column("text"))
-                flat = pa.array(keys.view(np.int64).ravel())
-                offsets = np.concatenate([[0], np.cumsum(np.where(counts > 0, SKETCHES, 0))])
-                flat = flat.filter(pa.array(np.repeat(counts > 0, SKETCHES)))
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), flat)
-                yield pa.record_batch([part.column("digest"), part.column("id"), lists], ["digest", "id", "keys"])
+                lists = [_lists(*some, part.num_rows) for some in sketches(part.column("text"))]
+                yield pa.record_batch(
+                    [part.column("digest"), part.column("id"), *lists], ["digest", "id", "keys", "singles"]
+                )
 
     named = docs.select(
         text_digest(F.col(text_column)).alias("digest"), F.col(id_column).alias("id"), F.col(text_column).alias("text")
@@ -265,15 +287,25 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
             for part in slices(batch, "text"):
                 data, offsets = utf8(part.column("text"))
                 doc, grams = shingles(Words(lower(data), offsets, PLAIN))
-                ends = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=part.num_rows))])
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(grams.view(np.int64)))
+                lists = _lists(doc, grams, part.num_rows)
                 yield pa.record_batch([part.column("digest"), lists], ["digest", "shingles"])
 
     id_type = docs.schema[id_column].dataType.simpleString()
-    rows = written(named.mapInArrow(sketch, f"digest binary, id {id_type}, keys array<long>"), "sketches")
+    rows = written(named.mapInArrow(sketch, f"digest binary, id {id_type}, keys array<long>, singles array<long>"), "sketches")
 
-    distinct = rows.where("size(keys) > 0").groupBy("digest").agg(F.min("id").alias("id"), F.any_value("keys").alias("keys"))
-    bands = distinct.select("digest", "id", F.explode("keys").alias("key"))
+    distinct = rows.where("size(keys) > 0 OR size(singles) > 0").groupBy("digest").agg(
+        F.min("id").alias("id"), F.any_value("keys").alias("keys"), F.any_value("singles").alias("singles")
+    )
+    lacked = F.floor(F.size("singles") * (1 - SIMILARITY) + 1e-9)
+    singles = distinct.select("digest", "id", lacked.alias("lacked"), F.explode("singles").alias("key"))
+    singles = written(singles, "singles")
+    common_last = Window.partitionBy("digest").orderBy("texts", "key")
+    rarest = (
+        singles.join(singles.groupBy("key").agg(F.count("*").alias("texts")), "key")
+        .withColumn("nth", F.row_number().over(common_last))
+        .where("nth <= lacked + 1")
+    )
+    bands = distinct.select("digest", "id", F.explode("keys").alias("key")).union(rarest.select("digest", "id", "key"))
     several = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = written(bands.join(several, "key"), "shared")
     central = shared.groupBy("digest").agg(F.sum("size").alias("central"), F.min("id").alias("id"))

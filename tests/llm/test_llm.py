@@ -199,6 +199,24 @@ def test_a_group_of_near_copies_is_one_class(spark):
     assert by_id(got, "class_id") == sorted(enumerate(root), key=repr)
 
 
+def test_short_near_copies_are_all_found(spark):
+    rng = np.random.default_rng(4)
+    texts = []
+    for size in [*range(1, 10)] * 6 + [*range(10, 25)] * 4:
+        words = [f"v{k}" for k in rng.integers(10**6, size=size)]
+        if size > 8:
+            words[6:8] = words[:2]
+        texts += [words, [*words, "added"], ["added", *words], words[:-1]]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts) if words]
+    sequences = {i: _shingles(t) for i, t in rows}
+    root = dict.fromkeys(sequences)
+    for i in sequences:
+        root[i] = next((root[j] for j in range(i - i % 4, i) if j in root and near_dedup.similar(sequences[i], sequences[j])), i)
+    assert all(root[i + 1] == i for i in range(0, len(texts), 4) if len(texts[i]) in (8, 9))
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(got, "class_id") == sorted(root.items(), key=repr)
+
+
 def _shingles(text):
     data, offsets = utf8(pa.array([text]))
     return near_dedup.shingles(Words(lower(data), offsets, PLAIN))[1]
