@@ -7,7 +7,8 @@ Each block is joined by range: cells of the share's root along the block's first
 coordinate, neighbours included, cut into tiles of bounded size. A tile finds the pairs
 within the block's share and verifies their cosine in double precision at once.
 
-A pair is counted in the first block that finds it. Tiles return a count for each vector
+A pair is counted in its first block whose distance, summed in a fixed order from the
+vectors alone, is within the share; the slack only widens the search. Tiles return a count for each vector
 and one edge to the smallest vector of its linked group in the tile, never pairs. Equal
 vectors are joined as one and counted by their number.
 """
@@ -178,6 +179,35 @@ def _sides(placed: DataFrame, tile: int) -> DataFrame:
     )
 
 
+def _owners(exact: np.ndarray, x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
+    """The block that counts each pair of vectors, the same in every tile.
+
+    Sums run element by element, so they depend on the pair alone. If rounding puts a
+    pair beyond the share of every block, the relatively nearest one counts it.
+    """
+    n = exact.shape[1]
+    cuts = _cuts(n)
+    some, places = np.unique(np.concatenate([x, y]), return_inverse=True)
+    x, y = places[: len(x)], places[len(x) :]
+    turned = _turned(exact[some]).T.copy()
+    ratios = np.zeros((len(cuts), len(x)))
+    for block, cut in enumerate(cuts):
+        for k in range(*cut):
+            gap = turned[k, x] - turned[k, y]
+            ratios[block] += gap * gap
+        ratios[block] /= _budget(cosine, n, cut) - _SLACK
+    return np.where((ratios <= 1).any(0), (ratios <= 1).argmax(0), ratios.argmin(0))
+
+
+def _turned(exact: np.ndarray) -> np.ndarray:
+    """Unit vectors turned element by element: no row's result depends on the others."""
+    matrix = rotation(exact.shape[1])
+    out = np.zeros_like(exact)
+    for k, row in enumerate(matrix):
+        out += exact[:, k : k + 1] * row
+    return out
+
+
 def _joined(group: pa.Table, cosine: float) -> pa.Table:
     """The links of one tile: a count for each vector, an edge to its group's smallest."""
     n, block = group["n"][0].as_py(), group["block"][0].as_py()
@@ -206,10 +236,8 @@ def _joined(group: pa.Table, cosine: float) -> pa.Table:
             x, y = x[x < y], y[x < y]
         linked = (exact[x] * exact[y]).sum(1) >= cosine
         x, y = x[linked], y[linked]
-        for earlier in cuts[:block]:
-            gap = turned[x, earlier[0] : earlier[1]] - turned[y, earlier[0] : earlier[1]]
-            fresh = (gap * gap).sum(1) > _budget(cosine, n, earlier) - _SLACK / 2
-            x, y = x[fresh], y[fresh]
+        mine = _owners(exact, x, y, cosine) == block
+        x, y = x[mine], y[mine]
         np.add.at(counts, x, copies[y])
         np.add.at(counts, y, copies[x])
         pairs_a.append(x)

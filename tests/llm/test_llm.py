@@ -359,6 +359,29 @@ def test_links(spark):
     assert embedding_dedup.links(frame.limit(0)).count() == 0
 
 
+def test_each_link_is_counted_in_one_block():
+    """Pairs within the slack of an earlier block's share, found by several blocks."""
+    n = 64
+    cut = embedding_dedup._cuts(n)[0]
+    share = 0.2 * (cut[1] - cut[0]) / n
+    turn = embedding_dedup.rotation(n)
+    for extra in np.linspace(-1e-6, 2e-6, 31):
+        a, b = np.zeros(n), np.zeros(n)
+        half = np.sqrt(share + extra) / 2
+        a[0], b[0] = half, -half
+        a[40] = b[40] = np.sqrt(1 - half * half)
+        rows = [(v @ turn.T).tobytes() for v in (a, b)]
+        total = 0
+        for block in range(embedding_dedup.BLOCKS):
+            group = pa.table({
+                "n": [n] * 2, "block": [block] * 2, "cell": [0] * 2, "other": [0] * 2, "i": [0] * 2, "j": [0] * 2,
+                "raw": rows, "node": [b"a", b"b"], "copies": [1, 1], "right": [False] * 2,
+            })
+            found = embedding_dedup._joined(group, 0.9)
+            total += sum(k for k in found["links"].to_pylist() if k is not None)
+        assert total == 2
+
+
 # Substrings
 
 
