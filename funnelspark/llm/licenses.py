@@ -6,6 +6,10 @@ for the unknown class, on paragraphs of the corpus. Its probabilities are calibr
 temperature, and the unknown class by a threshold that keeps all but ``FALSE_SHARE`` of
 held-out corpus paragraphs unknown. A prediction counts if the paragraph also holds enough
 of the 3-grams of a template of that family.
+
+A statement may also run across line ends, up to a line without words, and begin anywhere
+in a long line. So where enough of a template's 3-grams lie together, a window is put
+around them and classified in the same way. Overlapping hits of a family are one statement.
 """
 
 from __future__ import annotations
@@ -30,6 +34,8 @@ SAMPLE_CHARS = 4000
 FALSE_SHARE = 0.001
 #: Share of a template's 3-grams that confirms its family.
 CONFIRMED = 0.6
+#: Words around a template's place that are classified with it, besides the place alone.
+MARGIN = 2
 _SHIFT = np.uint64(64 - HASH_BITS)
 _LINE = 0x0A
 
@@ -92,16 +98,38 @@ class Paragraphs:
         last = np.append(self.first[1:], size) - 1 if size else self.first
         self.begin, self.end = words.start[self.first], words.end[last]
         self.sizes = last - self.first + 1
+        apart = np.ones(size, bool)
+        apart[1:] = (np.diff(lines) > 1) | (np.diff(words.text) != 0)
+        #: Where the block of each word, lines with no wordless line between, begins and ends.
+        edges = np.append(np.flatnonzero(apart), size)
+        block = np.cumsum(apart) - 1
+        self.block = edges[block], edges[block + 1]
+        self.words = words
+        self.running = [words.hash]
         self.grams = [words.hash]
         factor = 0x9E3779B97F4A7C15
         for n in (1, 2):
-            longer = np.zeros(size, np.uint64)
+            running, longer = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
             if size > n:
-                whole = self.number[:-n] == self.number[n:]
-                joined = mix(self.grams[-1][:-n] * np.uint64(factor) + words.hash[n:])
-                longer[:-n] = np.where(whole, joined, 0)
+                joined = mix(self.running[-1][:-n] * np.uint64(factor) + words.hash[n:])
+                running[:-n] = joined
+                longer[:-n] = np.where(self.number[:-n] == self.number[n:], joined, 0)
+            self.running.append(running)
             self.grams.append(longer)
 
+    def windows(self, begin: np.ndarray, end: np.ndarray) -> Paragraphs:
+        """Stretches of words, each within a block, as paragraphs."""
+        out = object.__new__(Paragraphs)
+        out.sizes = end - begin
+        out.first = np.cumsum(out.sizes) - out.sizes
+        out.number = np.repeat(np.arange(len(begin)), out.sizes)
+        place = np.arange(len(out.number)) - out.first[out.number]
+        at = begin[out.number] + place
+        out.grams = [np.where(place + n < out.sizes[out.number], g[at], 0) for n, g in enumerate(self.running)]
+        out.text = self.words.text[begin]
+        out.begin, out.end = self.words.start[begin], self.words.end[end - 1]
+        return out
+
     def __len__(self) -> int:
         return len(self.first)
 
@@ -139,6 +167,41 @@ class Model:
                 out.append((i, int(best[i]), float(chance[i, best[i]])))
         return out
 
+    def around(self, paragraphs: Paragraphs) -> Paragraphs:
+        """Windows around the places where enough of a template's 3-grams lie together."""
+        grams, (first, last) = paragraphs.running[2], paragraphs.block
+        hits = np.flatnonzero(np.isin(grams, np.concatenate([known for _, known in self.templates])))
+        hits = hits[hits + 3 <= last[hits]]
+        found = set()
+        for _, known in self.templates:
+            places = hits[np.isin(grams[hits], known)].tolist()
+            needed, length = -int(-CONFIRMED * len(known) // 1), len(known) + 2
+            for i, begin in enumerate(places):
+                seen, j, stop = set(), i, min(begin + PIECE, int(last[begin]))
+                while j < len(places) and places[j] + 3 <= stop and len(seen) < needed:
+                    seen.add(int(grams[places[j]]))
+                    j += 1
+                if len(seen) >= needed:
+                    end = max(places[j - 1] + 3, begin + length)
+                    for margin in (0, MARGIN):
+                        found.add((max(begin - margin, int(first[begin])), min(end + margin, int(last[begin]))))
+        begin, end = np.array(sorted(found), np.int64).reshape(-1, 2).T
+        return paragraphs.windows(begin, end)
+
+    def statements(self, paragraphs: Paragraphs) -> list[tuple[int, int, float, int, int]]:
+        """Text number, family, probability, begin and end of each confirmed statement."""
+        hits = []
+        for some in (paragraphs, self.around(paragraphs)):
+            for i, family, chance in self.found(some):
+                hits.append((int(some.text[i]), family, int(some.begin[i]), int(some.end[i]), chance))
+        out: list[tuple[int, int, float, int, int]] = []
+        for text, family, begin, end, chance in sorted(hits):
+            if out and out[-1][:2] == (text, family) and begin < out[-1][4]:
+                out[-1] = (text, family, max(chance, out[-1][2]), out[-1][3], max(end, out[-1][4]))
+            else:
+                out.append((text, family, chance, begin, end))
+        return sorted(out, key=lambda s: (s[0], s[3], s[4], s[1]))
+
 
 def _template(paragraphs: Paragraphs, part: slice) -> np.ndarray:
     """3-grams of a paragraph; a shorter one has its longest gram."""
@@ -253,12 +316,11 @@ def scan(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
                 data, offsets = utf8(part.column(text_column))
                 paragraphs = Paragraphs(data, offsets)
                 found: list[list] = [[] for _ in range(part.num_rows)]
-                for i, family, chance in known.found(paragraphs):
-                    text = int(paragraphs.text[i])
+                for text, family, chance, begin, end in known.statements(paragraphs):
                     found[text].append(
                         {
                             "family": known.families[family], "probability": chance,
-                            "begin": int(paragraphs.begin[i] - offsets[text]), "end": int(paragraphs.end[i] - offsets[text]),
+                            "begin": int(begin - offsets[text]), "end": int(end - offsets[text]),
                         }
                     )
                 counts = np.bincount(paragraphs.text, minlength=part.num_rows).astype(np.int64)

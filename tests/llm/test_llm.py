@@ -1,6 +1,7 @@
 """The operators on small inputs with nulls, empty and repeated rows, against plain Python."""
 
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -130,6 +131,21 @@ def test_every_template_is_recognised(family):
         assert family in [model.families[f] for _, f, _ in found]
 
 
+@pytest.mark.parametrize("family", licenses.TEMPLATES)
+def test_statements_across_lines_and_anywhere_in_long_lines(family):
+    model = licenses.train(["some plain words of no licence at all", "another line"] * 20)
+    names = list(licenses.TEMPLATES)
+    for statement in licenses.TEMPLATES[family]:
+        texts = [textwrap.fill(f"{lead} {statement}", 70) for lead in ("x", "some plain words", "a " * 25)]
+        plain = [f"p{k}" for k in range(140)]
+        texts += [" ".join([*plain[:k], statement, *plain[k:]]) for k in range(131)]
+        found = model.statements(licenses.Paragraphs(*utf8(pa.array(texts))))
+        assert {t for t, f, *_ in found if names[f] == family} == set(range(len(texts)))
+        assert all(names[f] == family for _, f, *_ in found)
+    apart = pa.array(["Permission is hereby granted, free of charge, to any person\n\nobtaining a copy of this"])
+    assert not model.statements(licenses.Paragraphs(*utf8(apart)))
+
+
 # Decontamination
 
 
