@@ -230,9 +230,13 @@ def _outside(rows: DataFrame, texts: DataFrame) -> DataFrame:
 
     Say x and y have the pivot p in a bucket, and y is not in the class of p. If all that
     x and y share lies in p, they share at most what y and p do; that is enough only for
-    a short x. So a similar pair shares a shingle that p lacks, or x is that short.
+    a short x. So a similar pair shares a shingle that p lacks, or x is that short. A
+    further repeat of a shingle counts as one that p lacks.
     """
 
+    def repeats(sequence: np.ndarray) -> np.ndarray:
+        return labelled(np.zeros(len(sequence), np.int64), np.asarray(sequence, np.int64).view(np.uint64)).view(np.int64)
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = frame[["a", "b", "root", "low"]].copy()
@@ -240,7 +244,7 @@ def _outside(rows: DataFrame, texts: DataFrame) -> DataFrame:
             out["n"] = [len(y) for _, y in both]
             # The largest n that x may have.
             out["short"] = [common(p, y) * (1 + SIMILARITY) / SIMILARITY - len(y) + 1e-6 for p, y in both]
-            out["own"] = [np.setdiff1d(y, p) for p, y in both]
+            out["own"] = [np.setdiff1d(repeats(y), repeats(p)) for p, y in both]
             yield out
 
     around = rows.select(F.col("pivot").alias("a"), F.col("digest").alias("b"), "root", "low").distinct()

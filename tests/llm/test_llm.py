@@ -233,6 +233,16 @@ def test_short_near_copies_are_all_found(spark):
     assert by_id(got, "class_id") == sorted(root.items(), key=repr)
 
 
+def test_links_of_more_repeats_than_the_pivots(spark):
+    texts = {b"p": [1, *range(50, 70)], b"x": [1] * 10, b"y": [1] * 9}
+    assert near_dedup.similar(np.array(texts[b"x"]), np.array(texts[b"y"]))
+    rows = [(bytearray(b"p"), bytearray(d), bytearray(d), bytearray(b"p")) for d in texts]
+    rows = spark.createDataFrame(rows, "pivot binary, digest binary, root binary, low binary")
+    sequences = spark.createDataFrame([(bytearray(d), s) for d, s in texts.items()], "digest binary, shingles array<long>")
+    found = {frozenset((bytes(r["a"]), bytes(r["b"]))) for r in near_dedup._outside(rows, sequences).collect()}
+    assert frozenset((b"x", b"y")) in found
+
+
 def _shingles(text):
     data, offsets = utf8(pa.array([text]))
     return near_dedup.shingles(Words(lower(data), offsets, PLAIN))[1]
