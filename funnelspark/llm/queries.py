@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.llm import (
-    decontaminate, embedding_dedup, language_id, licenses, near_dedup, sentencepiece_codec, sharding,
+    decontaminate, embedding_dedup, language_id, licenses, manifest, near_dedup, sentencepiece_codec, sharding,
     substring_dedup, token_counts, toxicity,
 )
 from funnelspark.llm.common import table
@@ -16,6 +16,8 @@ TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pattern of the byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def remainder(id_column: str, n: int) -> Column:
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % n
@@ -112,18 +114,44 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    text = F.col("text")
+    lowered = F.when(remainder("doc_id", 3) == 0, F.translate(text, _UPPER, _UPPER.lower())).otherwise(text)
+    return manifest.manifest(docs, docs.columns, "lang", "doc_id", {"text": lowered})
+
+
 QUERIES = {
     job.__name__: job
     for job in (
         op1_edit_aware_token_counts, op2_sampled_splitters, op3_license_scan, op4_decontaminate,
         op5_order_minhash, op6_sentencepiece, op7_toxic_spans, op8_language_id, op9_embedding_links,
-        op10_substring_dedup,
+        op10_substring_dedup, op13_merkle_manifest,
     )
 }
 
 _PLAIN = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
+# The table of the checksum by its rule, and the checksum of a text.
+_CRC_TABLE = """crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    [i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS crcs
+)"""
+
+
+def _crc(text: str) -> str:
+    data = f"list_transform(range(octet_length(encode({text}))), lambda i: ('0x' || hex(encode({text}))[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    step = "lambda c, b: xor(crcs[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce([4294967295] || {data}, {step}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)
+    parts = " || ".join(f"coalesce(octet_length(encode({x})) || ':' || {x}, '-')" for x in fields)
+    return f"sha256({parts})"
+
+
 ORACLE = {
     "op4_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
@@ -186,5 +214,63 @@ kept AS (
 lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+""",
+    "op13_merkle_manifest": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '-') AS tree,
+    {_leaf("text")} AS leaf,
+    CASE WHEN {_crc("CAST(doc_id AS VARCHAR)")} % 3 = 0
+      THEN {_leaf(f"translate(text, '{_UPPER}', '{_UPPER.lower()}')")} ELSE {_leaf("text")} END AS other
+  FROM documents, crc_table
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+),
+nodes(level, tree, r, n, d) AS (
+  SELECT 0, tree, r, n, leaf FROM ranked
+  UNION ALL
+  SELECT level + 1, tree, r // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY r))
+  FROM nodes WHERE n > 1 GROUP BY level, tree, n, r // 8
+),
+subroots AS (
+  SELECT tree, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1
+),
+upper(level, r, n, d) AS (
+  SELECT 0, r, n, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, r // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY r))
+  FROM upper WHERE n > 1 GROUP BY level, n, r // 8
+),
+every AS (
+  SELECT 0 AS part, level, tree, r, n, d FROM nodes UNION ALL SELECT 1, level, '', r, n, d FROM upper
+),
+steps AS (
+  SELECT part, level, tree, r,
+    coalesce(string_agg(d, '') OVER (run ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER (run ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS q
+  FROM every WHERE n > 1 WINDOW run AS (PARTITION BY part, level, tree, r // 8)
+),
+ids AS (
+  SELECT row_number() OVER () AS row_id, k.doc_id, k.tree, k.leaf, k.other, k.r, s.r AS s_r, subroot
+  FROM ranked AS k JOIN subroots AS s ON s.tree = k.tree
+),
+met AS (
+  SELECT row_id, part, level, l, q FROM ids JOIN steps
+    ON part = 0 AND steps.tree = ids.tree AND steps.r = ids.r >> CAST(3 * level AS BIGINT)
+  UNION ALL
+  SELECT row_id, part, level, l, q FROM ids JOIN steps ON part = 1 AND steps.r = s_r >> CAST(3 * level AS BIGINT)
+),
+paths AS (SELECT row_id, list({{'l': l, 'q': q}} ORDER BY part, level) AS path FROM met GROUP BY row_id),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT d FROM upper WHERE n = 1) AS root,
+    sha256(list_reduce([''] || list_transform(coalesce(path, []), lambda x: x.l || x.q), lambda a, b: a || b)) AS proof_sha256,
+    list_reduce([{{'l': other, 'q': ''}}] || coalesce(path, []),
+      lambda a, x: {{'l': sha256(x.l || a.l || x.q), 'q': ''}}).l AS folded_root
+  FROM ids LEFT JOIN paths USING (row_id)
+)
+SELECT *, folded_root = root AS verified FROM folded
 """,
 }
