@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.llm import (
-    decontaminate, embedding_dedup, language_id, licenses, manifest, near_dedup, sentencepiece_codec, sharding,
-    substring_dedup, token_counts, toxicity,
+    decontaminate, embedding_dedup, language_id, licenses, manifest, near_dedup, packing, sentencepiece_codec,
+    sharding, spelling, substring_dedup, token_counts, toxicity,
 )
 from funnelspark.llm.common import table
 
@@ -114,6 +114,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = sentencepiece_codec.read_model(f"{TOKENIZERS}/word_bpe_49k.json").decode()
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants_of(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
     text = F.col("text")
@@ -126,7 +135,7 @@ QUERIES = {
     for job in (
         op1_edit_aware_token_counts, op2_sampled_splitters, op3_license_scan, op4_decontaminate,
         op5_order_minhash, op6_sentencepiece, op7_toxic_spans, op8_language_id, op9_embedding_links,
-        op10_substring_dedup, op13_merkle_manifest,
+        op10_substring_dedup, op11_best_fit_packing, op12_spelling_variants, op13_merkle_manifest,
     )
 }
 
@@ -214,6 +223,48 @@ kept AS (
 lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+""",
+    "op12_spelling_variants": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[a-zÀ-ÿ]{{7,}}')) AS run
+    FROM documents
+  ) GROUP BY doc_id, run
+),
+hashed AS (SELECT run, n, {_crc("doc_id || ':' || run")} AS h FROM runs, crc_table),
+cut AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[: h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+holes AS (
+  SELECT word, n, i, word[:i] AS l, word[i + 2 :] AS q FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM holes AS a JOIN holes AS b ON a.l = b.l AND a.q = b.q AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes AS a JOIN words AS b ON a.l || a.q = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes AS a JOIN words AS b ON a.l || a.q = b.word
+),
+ranked AS (
+  SELECT word, near, n, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place,
+    count(*) OVER (PARTITION BY word) AS n_near
+  FROM pairs
+),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN r.n >= 10 * w.n THEN near END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words AS w LEFT JOIN ranked AS r ON r.word = w.word AND place = 1
+),
+chains(word, upto) AS (
+  SELECT word, word FROM words
+  UNION SELECT chains.word, form FROM chains JOIN formed ON formed.word = chains.upto WHERE form IS NOT NULL
+),
+ends AS (
+  SELECT chains.word, upto AS root FROM chains JOIN formed ON formed.word = chains.upto WHERE form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
 """,
     "op13_merkle_manifest": rf"""
 WITH RECURSIVE {_CRC_TABLE},
