@@ -2,8 +2,8 @@
 
 Records are ordered by (hash of the text, hash of the id). A sample weighted by size and
 number of rows gives the splitters of a few thousand ranges; equal texts lie side by side,
-and a text with very many rows falls into several ranges. Ranges that come out too large
-are split again by a sample of their own. Sums by range and running sums within a range
+and a text with very many rows falls into several ranges. Ranges of more than twice the mean
+weight are split again by a sample of their own until only single records are that large. Sums by range and running sums within a range
 give each record its place in the whole order, and the order is cut into shards of equal
 bytes: two shards differ by less than the size of two records.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.sources.storage import written
@@ -21,8 +21,6 @@ from funnelspark.sources.storage import written
 RECORD_BYTES = 8
 RANGES_PER_SHARD = 16
 SAMPLES_PER_RANGE = 20
-#: Rounds in which ranges of more than twice the mean weight are split again.
-ROUNDS = 3
 
 #: Cells by the highest bits of the hash, for finding a record's range.
 _CELLS = 1024
@@ -52,7 +50,8 @@ def shard(
             (F.coalesce(F.octet_length(text).cast("long"), F.lit(0)) + RECORD_BYTES).alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.xxhash64(text).alias("h"),
-            F.xxhash64(F.col(id_column), text, F.lit(1)).alias("s"),
+            # The row's number makes rows that are equal in id and text different keys.
+            F.xxhash64(F.col(id_column), text, F.monotonically_increasing_id()).alias("s"),
         ),
         "records",
     )
@@ -80,8 +79,7 @@ def shard(
     )
     # The shard in which the record's middle byte lies.
     middle = (F.col("bytes_before") + F.col("sum")) * 2 - F.col("size")
-    placed = placed.withColumn("shard", F.expr(f"cast({shards} AS decimal(38,0))") * middle)
-    placed = placed.withColumn("shard", F.floor(F.col("shard") / F.lit(2 * total)).cast("int"))
+    placed = placed.withColumn("shard", shard_of(middle, total, shards))
     placed = placed.withColumn("place", F.col("rows_before") + F.col("nth") - 1)
     placed = written(placed.select("doc_id", "size", "text_crc32", "shard", "place"), "placed")
     first = placed.groupBy("shard").agg(F.min("place").alias("first"))
@@ -89,6 +87,17 @@ def shard(
     return _result(slots)
 
 
+def shard_of(middle: Column, total: int, shards: int) -> Column:
+    """The shard of a record whose middle is at ``middle`` half bytes of ``total`` bytes.
+
+    Whole division of whole numbers: no quotient is rounded up to the next shard.
+    """
+    wide = "decimal(38,0)"
+    return F.call_function(
+        "div", (F.lit(shards).cast("decimal(10,0)") * middle.cast("decimal(20,0)")).cast(wide), F.lit(2 * total).cast(wide)
+    ).cast("int")
+
+
 def _result(rows: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
@@ -109,17 +118,19 @@ def _sampled(records: DataFrame, number: int) -> list[Key]:
 def _splitters(records: DataFrame, ranges: int) -> list[Key]:
     sample = _sampled(records, ranges * SAMPLES_PER_RANGE)
     found = set(sample[SAMPLES_PER_RANGE // 2 :: SAMPLES_PER_RANGE])
-    for _ in range(ROUNDS):
+    while True:
         splitters = sorted(found)
         placed = _ranged(records, splitters)
-        heavy = placed.groupBy("range").agg(F.sum("weight").alias("total")).where(F.col("total") > 2.0 / ranges)
-        heavy = [(r["range"], r["total"]) for r in heavy.collect()]
+        # Of several records; one alone cannot be split, however large.
+        heavy = placed.groupBy("range").agg(F.sum("weight").alias("total"), F.count("*").alias("n"))
+        heavy = [r["range"] for r in heavy.where((F.col("total") > 2.0 / ranges) & (F.col("n") > 1)).collect()]
         if not heavy:
-            break
-        inside = reduce(lambda a, b: a | b, (F.col("range") == r for r, _ in heavy))
+            return splitters
+        inside = reduce(lambda a, b: a | b, (F.col("range") == r for r in heavy))
         more = _sampled(placed.where(inside), len(heavy) * SAMPLES_PER_RANGE)
         found.update(more[:: max(1, SAMPLES_PER_RANGE // 4)])
-    return sorted(found)
+        if len(found) == len(splitters):
+            return splitters
 
 
 def _ranged(records: DataFrame, splitters: list[Key]) -> DataFrame:
