@@ -14,8 +14,8 @@ longer pair misses all sketches with probability 2.5e-5 at most (27 and 27 k-mer
 common), near 7e-6 at 0.8 between long texts.
 
 Pairs of a bucket are not all emitted: a few of its members are compared with the others,
-linked ones become classes, and only members of different classes that still share a
-bucket are compared further (``_linked_classes``).
+linked ones become classes, and members of different classes that still share a
+bucket meet again only by their rare k-mers (``_linked_classes``).
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ SIMILARITY = 0.8
 EXACT = 25
 #: Members of a bucket that those of its other classes are compared with in a round.
 PIVOTS = 4
+#: Cells of the counts that tell common shingles from rare ones.
+CELLS = 1 << 18
 
 _SEEDS = mix(np.arange(1, 2 * SKETCHES + 2, dtype=np.uint64))
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -175,94 +177,121 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return found.mapInPandas(check, "root_a binary, root_b binary").distinct()
 
 
-def _linked_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """``node``, ``root``: the classes of the texts that share buckets.
+def _members(bands: DataFrame) -> DataFrame:
+    """``key``, ``digest`` and how ``central`` the text is, for keys that several texts have."""
+    several = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    shared = written(bands.join(several, "key"), "shared")
+    central = shared.groupBy("digest").agg(F.sum("size").alias("central"))
+    return written(shared.select(*[c for c in shared.columns if c != "size"]).join(central, "digest"), "members")
 
-    In each round a bucket's most central members, those whose own buckets are largest,
-    are compared with the members of its other classes. Rounds go on while they cut the
-    number of pairs of different classes in a bucket by a fifth. ``_outside`` finds the
-    links left.
-    """
 
-    def merged(roots: DataFrame, pairs: DataFrame) -> DataFrame:
-        links = written(_verified(pairs, texts), "links")
-        higher = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-        higher = higher.select(F.col("node").alias("root"), F.col("root").alias("higher"))
-        return written(
-            roots.join(higher, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "classes"
-        )
+def _merged(roots: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``roots`` after the classes of those ``pairs`` that are near duplicates became one."""
+    links = written(_verified(pairs, texts), "links")
+    higher = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    higher = higher.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+    return written(
+        roots.join(higher, "root", "left").select("node", F.coalesce("higher", "root").alias("root")), "classes"
+    )
 
-    def opened(roots: DataFrame) -> tuple[DataFrame, float]:
-        now = members.join(roots.withColumnRenamed("node", "digest"), "digest")
-        rank = F.struct("central", "digest", "root")
-        sizes = now.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(rank).alias("top"))
-        keys = (
-            sizes.groupBy("key")
-            .agg(
-                F.count("*").alias("classes"),
-                F.max("top").alias("top"),
-                F.sum("n").alias("n"),
-                F.sum(F.col("n") * F.col("n")).alias("same"),
-            )
-            .where("classes > 1")
-            .select("key", F.col("top.digest").alias("pivot"), F.col("top.root").alias("low"), "n", "same")
+
+def _opened(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, float]:
+    """The members of buckets with several classes, and the number of pairs of those classes, about."""
+    now = members.join(roots.withColumnRenamed("node", "digest"), "digest")
+    rank = F.struct("central", "digest", "root")
+    sizes = now.groupBy("key", "root").agg(F.count("*").alias("n"), F.max(rank).alias("top"))
+    keys = (
+        sizes.groupBy("key")
+        .agg(
+            F.count("*").alias("classes"),
+            F.max("top").alias("top"),
+            F.sum("n").alias("n"),
+            F.sum(F.col("n") * F.col("n")).alias("same"),
         )
-        rows = written(now.join(keys, "key"), "open")
-        return rows, rows.agg(F.sum(F.expr("(n * n - same) / n"))).first()[0] or 0
+        .where("classes > 1")
+        .select("key", F.col("top.root").alias("low"), "n", "same")
+    )
+    rows = written(now.join(keys, "key"), "open")
+    return rows, rows.agg(F.sum(F.expr("(n * n - same) / n"))).first()[0] or 0
 
-    roots = written(members.select(F.col("digest").alias("node")).distinct().withColumn("root", F.col("node")), "classes")
-    rows, pairs = opened(roots)
+
+def _rounds(members: DataFrame, roots: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The classes after comparing central members, and the buckets left open.
+
+    In each round a bucket's most central members, those whose own buckets are largest,
+    are compared with the members of its other classes. Rounds go on while they cut the
+    number of pairs of different classes in a bucket by a fifth.
+    """
+    rows, pairs = _opened(members, roots)
     while pairs:
         nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("central"), F.desc("digest")))
         pivots = rows.where("root = low").withColumn("nth", nth).where(F.col("nth") <= PIVOTS)
         pivots = pivots.select("key", F.col("digest").alias("a"), F.col("root").alias("root_a"))
         others = rows.where("root != low").select("key", F.col("digest").alias("b"), F.col("root").alias("root_b"))
-        roots = merged(roots, pivots.join(others, "key").drop("key").distinct())
+        roots = _merged(roots, pivots.join(others, "key").drop("key").distinct(), texts)
         before = pairs
-        rows, pairs = opened(roots)
+        rows, pairs = _opened(members, roots)
         if pairs > 0.8 * before:
-            break
-    return merged(roots, _outside(rows, texts)) if pairs else roots
+            return roots, rows
+    return roots, None
 
 
-def _outside(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of different classes around one pivot that can still be similar.
+def _linked_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node``, ``root``: the classes of the texts that share buckets.
 
-    Say x and y have the pivot p in a bucket, and y is not in the class of p. If all that
-    x and y share lies in p, they share at most what y and p do; that is enough only for
-    a short x. So a similar pair shares a shingle that p lacks, or x is that short. A
-    further repeat of a shingle counts as one that p lacks.
+    Buckets that rounds of comparisons leave open hold texts that share some common passage but are
+    mostly no near duplicates. Their texts get new buckets by rare k-mers (``_prefixes``), in
+    which every near duplicate among them meets, and texts with only common ones in common do not.
     """
+    alone = members.select(F.col("digest").alias("node")).distinct().withColumn("root", F.col("node"))
+    roots, left = _rounds(members, written(alone, "classes"), texts)
+    if left is None:
+        return roots
+    open_texts = texts.join(left.select("digest").distinct(), "digest", "left_semi")
+    rare = _members(_prefixes(written(open_texts, "open_texts")))
+    roots, left = _rounds(rare, roots, texts)
+    return roots if left is None else _merged(roots, _near_in_size(left), texts)
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """``digest``, ``key``, ``place`` and ``size_of`` the text: the rarest k-mers of each text, one more than it may lack.
+
+    K-mers are put in one order for all texts: by the number of texts that have a shingle of the
+    same cell, then by hash. Two near duplicates share at least 0.8 of the k-mers of each,
+    so whatever the order, the first of those they share is among these keys of both. The
+    counts of ``CELLS`` cells are all that is gathered and broadcast.
+    """
+    cell = F.pmod(F.col("shingle"), F.lit(CELLS)).cast("int")
+    counts = texts.select(F.explode(F.array_distinct("shingles")).alias("shingle")).groupBy(cell.alias("cell")).count()
+    frequent = np.zeros(CELLS, np.int64)
+    for row in counts.toLocalIterator():
+        frequent[row["cell"]] = row["count"]
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+
+    def rarest(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for digest, shingles in zip(frame["digest"], frame["shingles"], strict=True):
+                grams = np.asarray(shingles, np.int64)
+                kmers = labelled(np.zeros(len(grams), np.int64), grams.view(np.uint64))
+                n = len(kmers)
+                first = np.lexsort((kmers, shared.value[grams % CELLS]))[: int(n * (1 - SIMILARITY) + 1e-9) + 1]
+                yield pd.DataFrame(
+                    {"digest": [digest] * len(first), "key": kmers[first].view(np.int64), "place": range(len(first)), "size_of": n}
+                )
 
-    def repeats(sequence: np.ndarray) -> np.ndarray:
-        return labelled(np.zeros(len(sequence), np.int64), np.asarray(sequence, np.int64).view(np.uint64)).view(np.int64)
+    return texts.mapInPandas(rarest, "digest binary, key long, place long, size_of long")
 
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = frame[["a", "b", "root", "low"]].copy()
-            both = list(zip(frame["left"], frame["right"], strict=True))
-            out["n"] = [len(y) for _, y in both]
-            # The largest n that x may have.
-            out["short"] = [common(p, y) * (1 + SIMILARITY) / SIMILARITY - len(y) + 1e-6 for p, y in both]
-            out["own"] = [np.setdiff1d(repeats(y), repeats(p)) for p, y in both]
-            yield out
-
-    around = rows.select(F.col("pivot").alias("a"), F.col("digest").alias("b"), "root", "low").distinct()
-    around = written(
-        _beside(around, texts).mapInPandas(
-            compare, "a binary, b binary, root binary, low binary, n long, short double, own array<long>"
-        ),
-        "around",
-    )
-    own = around.select("a", "b", "root", F.explode("own").alias("shingle"))
-    x, y = own.alias("x"), own.alias("y")
-    sharing = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.shingle") == F.col("y.shingle")))
-    least = around.groupBy("a").agg(F.min("n").alias("least"))
-    far = around.where("root != low").join(least, "a").where("least <= short")
-    x, y = around.alias("x"), far.alias("y")
-    short = x.join(y, (F.col("x.a") == F.col("y.a")) & (F.col("x.n") <= F.col("y.short")))
-    ends = [F.col("x.b").alias("a"), F.col("y.b").alias("b"), F.col("x.root").alias("root_a"), F.col("y.root").alias("root_b")]
-    return sharing.where("x.root < y.root").select(*ends).union(short.where("x.root != y.root").select(*ends)).distinct()
+
+def _near_in_size(rows: DataFrame) -> DataFrame:
+    """The pairs of different classes in a bucket that can share enough k-mers.
+
+    What a pair shares from its first common key on lies behind the key's place in both texts.
+    """
+    a = rows.select("key", F.col("digest").alias("a"), F.col("root").alias("root_a"), F.col("place").alias("p"), F.col("size_of").alias("n"))
+    b = rows.select("key", F.col("digest").alias("b"), F.col("root").alias("root_b"), F.col("place").alias("q"), F.col("size_of").alias("m"))
+    least = (F.col("n") + F.col("m")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
+    enough = (F.col("n") - F.col("p") >= least) & (F.col("m") - F.col("q") >= least)
+    return a.join(b, "key").where((F.col("root_a") < F.col("root_b")) & enough).drop("key", "n", "m", "p", "q").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -310,12 +339,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         .where("nth <= lacked + 1")
     )
     bands = distinct.select("digest", "id", F.explode("keys").alias("key")).union(rarest.select("digest", "id", "key"))
-    several = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = written(bands.join(several, "key"), "shared")
-    central = shared.groupBy("digest").agg(F.sum("size").alias("central"), F.min("id").alias("id"))
-    members = written(shared.select("key", "digest").join(central.select("digest", "central"), "digest"), "members")
+    members = _members(bands)
 
-    reps = central.select(F.col("digest").alias("d"), F.col("id").alias("i"))
+    reps = members.groupBy(F.col("digest").alias("d")).agg(F.min("id").alias("i"))
     texts = written(
         named.join(reps, F.col("digest").eqNullSafe(F.col("d")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
         .select("digest", "text")
@@ -325,11 +351,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
     roots = _linked_classes(members, texts)
 
-    classed = rows.select("digest", "id").join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    # Classes meet by their distinct texts; copies join the result by their text alone.
+    alone = rows.where("digest IS NOT NULL").groupBy("digest").agg(F.min("id").alias("least"))
+    classed = alone.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     classed = classed.withColumn("class", F.coalesce("root", "digest"))
-    least = classed.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
-    class_id = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least"))
-    return classed.join(least, "class", "left").select(
+    least = classed.groupBy("class").agg(F.min("least").alias("least"))
+    least = classed.select("digest", "class").join(least, "class").drop("class")
+    class_id = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("least"))
+    return rows.select("digest", "id").join(least, "digest", "left").select(
         F.col("id").alias(id_column), "digest", class_id.alias("class_id"), F.col("id").eqNullSafe(class_id).alias("kept")
     )
 
