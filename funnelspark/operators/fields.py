@@ -25,7 +25,7 @@ def custom_records(activities: DataFrame) -> DataFrame:
     )
 
 
-def resolved_fields(activities: DataFrame, fields: DataFrame, fits: bool | None) -> DataFrame:
+def resolved_fields(activities: DataFrame, fields: DataFrame, fits: bool | str | None) -> DataFrame:
     """One row per (activity, field) with the names of the field and its type.
 
     A field shared by several types counts only for the activity's own type.
@@ -58,7 +58,7 @@ def fields_as_columns(
     fields: DataFrame,
     type_names: Sequence[str],
     columns: Mapping[str, str],
-    fits: bool | None,
+    fits: bool | str | None,
     *,
     how: str = "inner",
     keep: Sequence[str] = (),

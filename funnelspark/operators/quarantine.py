@@ -38,14 +38,31 @@ def failures(
     )
 
 
+def no_data(rows: DataFrame, document: str) -> DataFrame:
+    """Rows whose document holds no ``data``; they look like failures, ``parsed`` NULL."""
+    missing = F.try_variant_get(document, "$.data", "variant").isNull()
+    return rows.where(F.col(document).isNotNull() & missing).withColumn("parsed", F.lit(None))
+
+
+_FAILURE = ("source_table", "insert_date", "error_detail")
+
+
 def unseen_failures(found: DataFrame, recorded: DataFrame) -> DataFrame:
-    """Failures not recorded by an earlier run, so a repeated run adds nothing."""
-    digest = F.md5("raw_payload")
-    left = found.withColumn("_digest", digest).alias("found")
-    seen = recorded.select("source_table", "insert_date", digest.alias("_digest")).distinct()
-    right = seen.alias("seen")
-    same = F.col("found.source_table") == F.col("seen.source_table")
-    for name in ("insert_date", "_digest"):
+    """Failures not recorded by an earlier run, so a repeated run adds nothing.
+
+    Equal failures are one record with their number, ``occurrences``, in the run that met
+    them first; failures without text are told apart by source, time and reason.
+    """
+    digest = F.md5("raw_payload").alias("_digest")
+    once = found.groupBy(*_FAILURE, digest).agg(
+        F.any_value("raw_payload").alias("raw_payload"),
+        F.min("failed_at").alias("failed_at"),
+        F.count("*").alias("occurrences"),
+    )
+    left = once.alias("found")
+    right = recorded.select(*_FAILURE, digest).alias("seen")
+    same = F.lit(True)
+    for name in (*_FAILURE, "_digest"):
         same = same & F.col(f"found.{name}").eqNullSafe(F.col(f"seen.{name}"))
     return left.join(right, same, "left_anti").drop("_digest")
 

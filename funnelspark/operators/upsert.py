@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.sources.storage import open_table, written
+from funnelspark.operators.key_index import bucket_of, index_keys, stored_keys
+from funnelspark.sources import generations
+from funnelspark.sources.generations import Change
+from funnelspark.sources.storage import written
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,11 @@ def new_rows(source: DataFrame, run_ts: Column) -> DataFrame:
     return source.withColumn("update_date", run_ts)
 
 
+def schema_of(df: DataFrame) -> str:
+    """The columns of ``df`` besides ``bucket``, as text."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != "bucket")
+
+
 def updated_rows(
     target: DataFrame, source: DataFrame, rule: UpsertRule, run_ts: Column
 ) -> DataFrame:
@@ -66,6 +74,11 @@ def updated_rows(
     return old.join(new, same_key, "left").select(*[merged(c) for c in data], stamp)
 
 
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of an upserted table as of now."""
+    return generations.read(spark, path, "rows", schema, generations.newest(spark, path)).drop("bucket")
+
+
 def upsert_table(
     path: str,
     source: DataFrame,
@@ -73,69 +86,65 @@ def upsert_table(
     run_ts: Column,
     buckets: int | None = None,
     sort_by: Sequence[str] = (),
-) -> None:
-    """Upsert into a parquet table split into buckets by key hash.
-
-    Changed and new rows are found from the target's keys and hashes alone; only
-    the buckets they fall into are rewritten. Running it again changes nothing. A
-    stored row keeps its bucket, so ``buckets`` may differ between runs; by default
-    there are as many as shuffle partitions.
-
-    A newer version with unchanged content is noted in a narrow table beside the wide
-    one (``<path>_versions``, appended to), so nothing wide is rewritten for it.
+) -> str:
+    """Upsert into a table of buckets by key hash; returns the columns of the rows.
+
+    Changed and new rows are found from narrow keys and hashes, of which only those
+    that a key bitmap holds for possible are read; only
+    the buckets with changes are rewritten. They are switched together by one manifest
+    file, so a run that is lost leaves the table as it was, and running it again
+    changes nothing. The number of ``buckets`` is that of the first run, by default the
+    number of shuffle partitions.
+
+    A newer version with unchanged content goes to the narrow keys alone, so nothing wide is
+    rewritten for it.
     """
-    if buckets is None:
-        buckets = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # The hash of a shuffle on the same keys, so that a task holds one bucket.
-    bucket = F.pmod(F.hash(*rule.keys), F.lit(buckets))
-    source = source.where(has_keys(rule)).withColumn("bucket", bucket)
-    target = open_table(path, new_rows(source, run_ts), ["bucket"])
-
-    def write(rows: DataFrame) -> None:
-        (
-            rows.sortWithinPartitions("bucket", *sort_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
-            .parquet(path)
-        )
-
-    if target.isEmpty():
-        write(new_rows(source, run_ts))
-        return
-    known = target.select(
-        *rule.keys, F.col(rule.hash_column).alias("_hash"), F.col("bucket").alias("_bucket")
-    )
-    differs = F.col("_hash") != F.col(rule.hash_column)
+    spark = source.sparkSession
+    before = generations.newest(spark, path)
+    if before:
+        buckets = before.buckets
+    elif buckets is None:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    source = source.where(has_keys(rule)).withColumn("bucket", bucket_of(rule.keys, buckets))
+    rows_schema = schema_of(new_rows(source, run_ts))
+    narrow = [*rule.keys, rule.hash_column, *([rule.version] if rule.version else [])]
+    keys_schema = schema_of(source.select(*narrow))
+    change = Change(spark, path, before, buckets)
+    if before is None:
+        change.replace("rows", new_rows(source, run_ts), sort_by=sort_by)
+        change.replace("keys", change.written("rows", rows_schema).select(*narrow, "bucket"))
+        index_keys(change, rule.keys, keys_schema, range(buckets))
+        change.commit()
+        return rows_schema
+
+    source = written(source, "source")
+    known = stored_keys(source, path, before, rule.keys, keys_schema).drop("bucket")
+    known = known.withColumnRenamed(rule.hash_column, "_hash").withColumn("_known", F.lit(True))
     if rule.version:
-        version = F.col(rule.version)
-        seen_path = f"{path.rstrip('/')}_versions"
-        noted = open_table(seen_path, target.select(*rule.keys, version))
-        seen = (
-            target.select(*rule.keys, version)
-            .unionByName(noted)
-            .groupBy(*rule.keys)
-            .agg(F.max(version).alias("_seen"))
-        )
-        known = known.join(seen, list(rule.keys))
-        newer = version > F.col("_seen")
-        differs = differs & newer
-        unchanged = (F.col("_hash") == F.col(rule.hash_column)) & newer
-        met = source.select(*rule.keys, rule.hash_column, version).join(known, list(rule.keys))
-        advanced = written(met.where(unchanged).select(*rule.keys, version), "versions")
-    delta = (
-        source.join(known, list(rule.keys), "left")
-        .where(F.col("_hash").isNull() | differs)
-        .withColumn("_unknown", F.col("_hash").isNull())
-        .withColumn("bucket", F.coalesce("_bucket", "bucket"))
-        .drop("_hash", "_bucket", "_seen")
-    )
-    delta = written(delta, "delta")
-    touched = [row.bucket for row in delta.select("bucket").distinct().collect()]  # <= buckets
-    if touched:
-        kept = target.where(F.col("bucket").isin(touched))
-        changes = delta.where("NOT _unknown")
-        added = new_rows(delta.where("_unknown").drop("_unknown"), run_ts)
-        write(updated_rows(kept, changes, rule, run_ts).unionByName(added))
+        known = known.withColumnRenamed(rule.version, "_seen")
+    newer = F.col(rule.version) > F.col("_seen") if rule.version else F.lit(True)
+    same = F.col("_hash") == F.col(rule.hash_column)
+    fresh = F.col("_known").isNull()
+    # What becomes of the row: wide parts are read and written for new and changed ones only.
+    kind = F.when(fresh, "new").when(newer & ~same, "changed")
     if rule.version:
-        advanced.write.mode("append").parquet(seen_path)
+        kind = kind.when(newer, "seen")
+    delta = written(source.join(known, list(rule.keys), "left").withColumn("_kind", kind).where("_kind IS NOT NULL"), "delta")
+    # At most three rows for each bucket.
+    touched = {(row["_kind"], row.bucket) for row in delta.select("_kind", "bucket").distinct().collect()}
+    if not touched:
+        return rows_schema
+    given = delta.select(*source.columns, "_kind")
+    wide = sorted({b for k, b in touched if k != "seen"})
+    if wide:
+        kept = generations.read(spark, path, "rows", rows_schema, before, wide)
+        changes = given.where("_kind = 'changed'").drop("_kind")
+        added = new_rows(given.where("_kind = 'new'").drop("_kind"), run_ts)
+        change.replace("rows", updated_rows(kept, changes, rule, run_ts).unionByName(added), wide, sort_by)
+    every = sorted({b for _, b in touched})
+    now = given.select(*narrow, "bucket")
+    others = generations.read(spark, path, "keys", keys_schema, before, every).join(now, list(rule.keys), "left_anti")
+    change.replace("keys", others.unionByName(now), every)
+    index_keys(change, rule.keys, keys_schema, sorted({b for k, b in touched if k == "new"}))
+    change.commit()
+    return rows_schema

@@ -52,9 +52,9 @@ def fact_lead_funnel(silver: Silver) -> DataFrame:
     )
 
 
-def _fits(silver: Silver) -> bool | None:
+def _fits(silver: Silver) -> bool | str | None:
     """A part of a dictionary that fits also fits; otherwise measure the part."""
-    return True if silver.fields_fit else None
+    return silver.fields_fit or None
 
 
 def _family(silver: Silver, types: tuple[str, ...], columns: dict[str, str]) -> DataFrame:

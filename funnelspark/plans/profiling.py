@@ -48,8 +48,8 @@ def activity_catalog(raw: DataFrame) -> DataFrame:
 
 def outcome_values(raw: DataFrame, limit: int | None = None) -> DataFrame:
     """How often each coded outcome ("N. Label") occurs under each key path."""
-    leaves = string_leaves(parsed_source(raw, limit), "parsed")
-    counts = leaves.where(F.col("value").rlike(OUTCOME_CODE)).groupBy("key_path", "value").count()
+    leaves = string_leaves(parsed_source(raw, limit), "parsed", lambda value: value.rlike(OUTCOME_CODE))
+    counts = leaves.groupBy("key_path", "value").count()
     return counts.orderBy(F.col("count").desc(), "key_path", "value")
 
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from funnelspark.config import CUSTOM_PREFIX
 from funnelspark.functions.values import text_at, wall_clock
+from funnelspark.operators.history import HistoryRule
 from funnelspark.operators.latest import latest_per_key
-from funnelspark.operators.lookup import fits_broadcast
+from funnelspark.operators.lookup import WHEN_RUN, fits_broadcast
 from funnelspark.operators.nested import explode_items
 from funnelspark.operators.quarantine import parse_repaired
 from funnelspark.operators.upsert import UpsertRule
@@ -33,32 +34,42 @@ FIELDS_SCHEMA = (
 )
 USERS_SCHEMA = (
     "user_id string, email string, first_name string, last_name string, role string,"
-    " status string, md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz,"
-    " bucket int"
+    " status string, md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
 )
 ACTIVITIES_SCHEMA = (
     "lead_id string, activity_id string, full_record variant, activity_at timestamp_ntz,"
     " record_type string, type_id string, user_id string, custom_fields map<string,string>,"
-    " md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz, bucket int"
+    " md5_hash string, insert_date timestamp_ntz, update_date timestamp_ntz"
 )
 MAX_LISTED_TYPES = 1000
 
+# Daily runs keep the history of each key, so that the order of arrival does not matter.
+USER_HISTORY = HistoryRule(keys=("user_id",))
+ACTIVITY_HISTORY = HistoryRule(keys=("lead_id", "activity_id"), first_seen=("activity_at",))
+FIELD_HISTORY = HistoryRule(keys=("field_id", "custom_activity_type_id"))
+
 
 @dataclass(frozen=True, eq=False)
 class Silver:
-    """The three tables the gold views read, as of the time they were opened."""
+    """The three tables the gold views read, as of the time they were opened.
+
+    With ``live`` they are as of the time a view is run, so nothing about their rows, such
+    as sizes or type ids, is settled before.
+    """
 
     fields: DataFrame
     users: DataFrame
     activities: DataFrame
+    live: bool = False
 
     @cached_property
-    def fields_fit(self) -> bool:
-        return fits_broadcast(self.fields)
+    def fields_fit(self) -> bool | str:
+        return WHEN_RUN if self.live else fits_broadcast(self.fields)
 
     @cached_property
-    def users_fit(self) -> bool:
-        return fits_broadcast(self.users.select("user_id", "email", "first_name", "last_name"))
+    def users_fit(self) -> bool | str:
+        wanted = self.users.select("user_id", "email", "first_name", "last_name")
+        return WHEN_RUN if self.live else fits_broadcast(wanted)
 
     @cached_property
     def _types(self) -> dict[tuple[str, tuple[str, ...]], list[str] | None]:
@@ -79,6 +90,10 @@ class Silver:
 
     def activities_of(self, column: str, values: tuple[str, ...]) -> DataFrame:
         """The activities whose type has one of the values, as far as ids can be listed."""
+        if self.live:
+            of_types = self.fields.where(F.col(column).isin(*values))
+            ids = of_types.select(F.col("custom_activity_type_id").alias("type_id"))
+            return self.activities.join(ids, "type_id", "left_semi")
         ids = self.type_ids(column, values)
         return self.activities if ids is None else self.activities.where(F.col("type_id").isin(ids))
 
@@ -92,12 +107,12 @@ def items_of(rows: DataFrame, document: str, item: str) -> DataFrame:
     return explode_items(rows, F.try_variant_get(document, "$.data", "variant"), item)
 
 
-def field_dictionary(parsed: DataFrame) -> DataFrame:
-    """One row per (field, activity type), from the newest snapshot that lists it."""
+def field_versions(parsed: DataFrame) -> DataFrame:
+    """A row per field of each activity type in each snapshot."""
     types = items_of(parsed.select("insert_date", "parsed"), "parsed", "type")
     fields = F.try_variant_get("type", "$.fields", "variant")
     pairs = explode_items(types.select("insert_date", "type"), fields, "field")
-    named = pairs.select(
+    return pairs.select(
         text_at(F.col("type"), "id").alias("custom_activity_type_id"),
         text_at(F.col("type"), "name").alias("custom_activity_type_name"),
         F.try_variant_get("type", "$.is_archived", "boolean").alias("is_archived"),
@@ -106,15 +121,26 @@ def field_dictionary(parsed: DataFrame) -> DataFrame:
         text_at(F.col("field"), "type").alias("field_type"),
         "insert_date",
     )
-    newest = [
-        F.col("insert_date").desc_nulls_first(),
-        F.col("custom_activity_type_name").desc_nulls_first(),
-        F.col("field_name").desc_nulls_first(),
-        F.col("field_type").desc_nulls_first(),
-        F.col("is_archived").desc_nulls_first(),
-    ]
-    latest = latest_per_key(named, ["field_id", "custom_activity_type_id"], newest)
-    return latest.drop("insert_date")
+
+
+_FIELD_TIES = ("custom_activity_type_name", "field_name", "field_type", "is_archived")
+
+
+def latest_fields(versions: DataFrame) -> DataFrame:
+    newest = [F.col(name).desc_nulls_first() for name in ("insert_date", *_FIELD_TIES)]
+    return latest_per_key(versions, ["field_id", "custom_activity_type_id"], newest)
+
+
+def field_dictionary(parsed: DataFrame) -> DataFrame:
+    """One row per (field, activity type), from the newest snapshot that lists it."""
+    return latest_fields(field_versions(parsed)).drop("insert_date")
+
+
+def hashed_fields(versions: DataFrame) -> DataFrame:
+    """``versions`` with the hash of what a row says of its field, and its version."""
+    said = F.to_json(F.struct(*_FIELD_TIES))
+    hashed = versions.withColumn("md5_hash", F.md5(said))
+    return hashed.withColumn("version", version_of("insert_date", *_FIELD_TIES))
 
 
 def content_hash(record: Column) -> Column:
@@ -145,10 +171,13 @@ def user_versions(parsed: DataFrame) -> DataFrame:
     )
 
 
-def latest_users(parsed: DataFrame) -> DataFrame:
+def latest_of_users(versions: DataFrame) -> DataFrame:
     newest = [F.col("insert_date").desc_nulls_first(), F.col("md5_hash").desc()]
-    latest = latest_per_key(user_versions(parsed), ["user_id"], newest)
-    return latest.withColumn("version", version_of("insert_date"))
+    return latest_per_key(versions, ["user_id"], newest)
+
+
+def latest_users(parsed: DataFrame) -> DataFrame:
+    return latest_of_users(user_versions(parsed)).withColumn("version", version_of("insert_date"))
 
 
 def activity_versions(bronze: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from funnelspark import config as c
 from funnelspark.operators import quarantine
-from funnelspark.operators.upsert import upsert_table
+from funnelspark.operators.upsert import read_table, upsert_table
 from funnelspark.plans import gold, metrics, pipeline, profiling, quality, reports, silver
 from funnelspark.sources import crm, landing
+from funnelspark.sources.rolling import written_files
 from funnelspark.sources.storage import new_folder, written
 from funnelspark.streaming.ingest import load_bronze_tables, read_bronze, read_ledger
 from funnelspark.streaming.upserts import each_new_batch
@@ -25,8 +26,7 @@ FIRST_RUN = datetime(2024, 3, 1)
 SECOND_RUN = datetime(2024, 3, 2)
 SCAN_FROM = datetime(2024, 1, 10, 13)
 LAST_FIRST_RUN_SNAPSHOT = datetime(2024, 1, 11, 13)
-CHECK_TIME = datetime(2024, 1, 31)
-CHECK_SPAN = timedelta(days=5)
+SECOND_LOAD_FROM = datetime(2024, 1, 12)
 SMALL_BATCH_BYTES = 4096
 SAMPLE_ROWS = 200
 
@@ -84,23 +84,40 @@ def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two extractions of the same sources; the second finds nothing new."""
+    """Two extractions of the same sources; the second finds nothing new.
+
+    The files listed by a run must be as many as its batches and hold as many rows.
+    """
     folders = pipeline.Folders(new_folder(spark, "extract"))
     sources = crm.raw_tables(spark, sf_dir)
-    runs = [
-        pipeline.extract(spark, sources, folders, run_ts).withColumn("run", F.lit(number))
-        for number, run_ts in enumerate((FIRST_RUN, SECOND_RUN), start=1)
-    ]
-    return _union(runs).drop("batches")
+    runs = []
+    for number, run_ts in enumerate((FIRST_RUN, SECOND_RUN), start=1):
+        summary = pipeline.extract(spark, sources, folders, run_ts).withColumn("run", F.lit(number))
+        listed = _union(
+            [
+                written_files(spark, landing.keys_folder(folders.landing, table, FIRST_RUN)).select(
+                    F.lit(table).alias("table"), F.lit(1).alias("run"), "rows"
+                )
+                for table in sources
+            ]
+        )
+        files = listed.groupBy("table", "run").agg(F.count("*").alias("files"), F.sum("rows").alias("n"))
+        runs.append(summary.join(files, ["table", "run"], "left"))
+    return _union(runs).select(
+        "table",
+        "rows_extracted",
+        "checkpoint_advanced",
+        "new_checkpoint",
+        "run",
+        (F.coalesce("files", F.lit(0)) == F.col("batches")).alias("all_listed"),
+        F.coalesce("n", F.lit(0)).alias("rows_listed"),
+    )
 
 
 def _land_and_load(spark: SparkSession, lines: dict[str, DataFrame]) -> pipeline.Folders:
     folders = pipeline.Folders(new_folder(spark, "load"))
     for table, rows in lines.items():
-        size = rows.agg(landing.line_bytes()).first()[0]
-        groups = landing.group_count(size, landing.BATCH_BYTES)
-        batched = landing.size_batches(rows, landing.BATCH_BYTES, ["insert_date"], groups)
-        landing.write_landing(batched, folders.landing, table, FIRST_RUN)
+        landing.roll_landing(rows, folders.landing, table, FIRST_RUN)
     pipeline.load_bronze(spark, folders, FIRST_RUN)
     return folders
 
@@ -130,17 +147,40 @@ def envelope_land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(loaded(2))
 
 
-def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reconciliation of a load in which some lines are cut off."""
+_loads: dict[tuple, pipeline.Folders] = {}
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> pipeline.Folders:
+    """Raw rows landed in a file a day and loaded and reconciled in two runs; some lines are cut off.
+
+    Done on first use and when the folder changes.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, sf_dir))
+    if key in _loads:
+        return _loads[key]
     lines = {t: landing.envelope(rows) for t, rows in crm.raw_tables(spark, sf_dir).items()}
     cut = F.col("line").rlike('"acti_[0-9]*00"')
     half = F.col("line").substr(F.lit(1), F.floor(F.length("line") / 2).cast("int"))
     lines[c.LEAD_ACTIVITIES] = lines[c.LEAD_ACTIVITIES].withColumn(
         "line", F.when(cut, half).otherwise(F.col("line"))
     )
-    folders = _land_and_load(spark, lines)
-    checks = quality.reconciliation(read_ledger(spark, folders.bronze), FIRST_RUN)
-    return checks.drop("files_staged")
+    folders = pipeline.Folders(new_folder(spark, "loads"))
+    day = F.date_format("insert_date", "yyyyMMdd").cast("long")
+    late = F.col("insert_date") >= F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
+    for part, run_ts in ((~late, FIRST_RUN), (late, SECOND_RUN)):
+        for table, rows in lines.items():
+            files = rows.where(part).withColumn("batch", day).repartition("batch")
+            landing.write_landing(files, folders.landing, table, run_ts)
+        pipeline.load_bronze(spark, folders, run_ts)
+        pipeline.reconcile(spark, folders, run_ts)
+    _loads[key] = folders
+    return folders
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconciliation of all files of two loads."""
+    ledger = read_ledger(spark, _two_loads(spark, sf_dir).bronze)
+    return quality.reconciliation(ledger, SECOND_RUN, since=SECOND_RUN - FIRST_RUN)
 
 
 def size_bounded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,26 +218,16 @@ def ordered_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Load quality
 
 
-def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    failed = F.col("event_id") % 90 == 0
-    return events.groupBy(
-        F.col("event_type").alias("table_name"),
-        F.concat(F.lit("file_"), F.col("event_id") % 50).alias("file_name"),
-        F.col("ts").cast("date").cast("timestamp_ntz").alias("load_time"),
-    ).agg(
-        F.count("*").alias("row_parsed"),
-        F.count_if(~failed).alias("row_count"),
-        F.count_if(failed).alias("error_count"),
-    )
-
-
 def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reconciliation(_file_ledger(spark, sf_dir), CHECK_TIME, CHECK_SPAN)
+    """Reconciliation at the second load, whose two hours leave the first one out."""
+    ledger = read_ledger(spark, _two_loads(spark, sf_dir).bronze)
+    return quality.reconciliation(ledger, SECOND_RUN)
 
 
 def error_rate_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.error_rate(load_reconciliation(spark, sf_dir), CHECK_TIME)
+    """The error rate over the recorded checks of the last minutes."""
+    checks = spark.read.parquet(_two_loads(spark, sf_dir).reconciliation)
+    return quality.error_rate(checks, SECOND_RUN)
 
 
 # Repair and quarantine
@@ -254,7 +284,13 @@ def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
         pipeline.record_failures(found, path)
     rows = spark.read.parquet(path)
     return rows.select(
-        "source_table", "insert_date", F.length("raw_payload").alias("text_length"), "failed_at"
+        "source_table",
+        "insert_date",
+        "error_detail",
+        "raw_payload",
+        F.length("raw_payload").alias("text_length"),
+        "occurrences",
+        "failed_at",
     )
 
 
@@ -296,8 +332,8 @@ def users_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_folder(spark, "users")
     first = _until(bronze, LAST_FIRST_RUN_SNAPSHOT)
     for rows, run_ts in ((first, FIRST_RUN), (bronze, SECOND_RUN)):
-        pipeline.upsert_users(rows, root, run_ts, silver.USER_RULE)
-    return spark.read.parquet(f"{root}/users").drop("md5_hash", "bucket", "version")
+        users = pipeline.upsert_users(rows, root, run_ts, silver.USER_RULE)
+    return users.drop("md5_hash", "version")
 
 
 def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,8 +355,7 @@ def users_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{folders.checkpoints}/silver",
             lambda batch: pipeline.upsert_users(batch, folders.silver, run_ts, rule),
         )
-    users = spark.read.parquet(f"{folders.silver}/users")
-    return users.drop("md5_hash", "bucket", "version")
+    return read_table(spark, f"{folders.silver}/users", silver.USERS_SCHEMA).drop("md5_hash")
 
 
 def activities_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,7 +367,35 @@ def activities_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rows, run_ts in ((bronze.where(age <= 2), FIRST_RUN), (bronze, SECOND_RUN)):
         source = silver.latest_activities(rows)
         upsert_table(path, source, silver.ACTIVITY_RULE, _stamp(run_ts))
-    return spark.read.parquet(path).select(
+    return _whole_activities(read_table(spark, path, silver.ACTIVITIES_SCHEMA))
+
+
+_daily: dict[tuple, silver.Silver] = {}
+
+
+def _daily_silver(spark: SparkSession, sf_dir: str) -> silver.Silver:
+    """Silver after the late snapshots and then all of them again, once per state of the folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, sf_dir))
+    if key not in _daily:
+        bronze = {t: written(rows, t) for t, rows in crm.bronze_tables(spark, sf_dir).items()}
+        root = new_folder(spark, "daily")
+        late = F.col("insert_date") >= F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
+        pipeline.build_silver(spark, {t: rows.where(late) for t, rows in bronze.items()}, root, FIRST_RUN)
+        _daily[key] = pipeline.build_silver(spark, bronze, root, SECOND_RUN)
+    return _daily[key]
+
+
+def daily_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows of the users of daily runs, snapshots out of order."""
+    return _daily_silver(spark, sf_dir).users.drop("md5_hash")
+
+
+def daily_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily_silver(spark, sf_dir).fields
+
+
+def _whole_activities(activities: DataFrame) -> DataFrame:
+    return activities.select(
         "lead_id",
         "activity_id",
         "activity_at",
@@ -346,6 +409,31 @@ def activities_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def daily_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rows of the activities of daily runs, snapshots out of order."""
+    return _whole_activities(_daily_silver(spark, sf_dir).activities)
+
+
+def activities_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stream over bronze files, one file a batch, with repeats."""
+    bronze = crm.bronze_tables(spark, sf_dir)[c.LEAD_ACTIVITIES]
+    folders = pipeline.Folders(new_folder(spark, "activities_stream"))
+    late = F.col("insert_date") >= F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
+    stored = bronze.withColumn("error", F.lit(None).cast("string"))
+    path = f"{folders.bronze}/{c.LEAD_ACTIVITIES}"
+    for rows, run_ts in ((stored.where(late), FIRST_RUN), (stored, SECOND_RUN)):
+        rows.repartition(2).write.mode("append").parquet(path)
+        each_new_batch(
+            spark,
+            path,
+            f"{folders.checkpoints}/silver",
+            lambda batch: pipeline.fold_activities(batch, folders.silver, run_ts),
+            max_files=1,
+        )
+    schema = silver.ACTIVITIES_SCHEMA
+    return _whole_activities(read_table(spark, f"{folders.silver}/lead_activities", schema))
+
+
 def missing_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Activities that cannot be upserted because they have no id."""
     versions = silver.activity_versions(crm.bronze_tables(spark, sf_dir)[c.LEAD_ACTIVITIES])
@@ -380,6 +468,10 @@ QUERIES: dict[str, Query] = {
     "users_upsert": users_upsert,
     "users_stream_upsert": users_stream_upsert,
     "activities_upsert": activities_upsert,
+    "daily_users": daily_users,
+    "daily_dictionary": daily_dictionary,
+    "daily_activities": daily_activities,
+    "activities_stream_upsert": activities_stream_upsert,
     "missing_keys": missing_keys,
     "dim_users": _on_silver(gold.dim_users),
     "fact_lead_funnel": _on_silver(gold.fact_lead_funnel),

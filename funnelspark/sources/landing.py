@@ -2,40 +2,102 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from funnelspark.config import EPOCH
+from funnelspark.sources.rolling import roll_lines
 from funnelspark.sources.storage import open_table
 
 BATCH_BYTES = 4 * 1024 * 1024
 # Batches packed in one sorted group; keeps a group's size bounded.
 BATCHES_PER_GROUP = 8
+#: Times drawn to cut a read into slices.
+SAMPLED_TIMES = 20_000
 _MARKS = "table_name string, high_water timestamp_ntz"
 
 
+@dataclass(frozen=True)
+class Slice:
+    """Rows with ``low < insert_date <= high``, and of these one of ``parts`` by hash."""
+
+    low: datetime
+    high: datetime
+    part: int = 0
+    parts: int = 1
+
+    def predicate(self, hash_sql: str) -> str:
+        """As SQL; ``hash_sql`` makes a whole number from 0 of the text in its braces."""
+        times = f"insert_date > TIMESTAMP '{self.low}' AND insert_date <= TIMESTAMP '{self.high}'"
+        if self.parts == 1:
+            return times
+        number = hash_sql.format("coalesce(raw_data, '')")
+        return f"{times} AND {number} % {self.parts} = {self.part}"
+
+
+def time_slices(sample: Sequence[datetime], low: datetime, high: datetime, slices: int) -> list[Slice]:
+    """Slices of about equal numbers of rows that together cover ``low < insert_date <= high``.
+
+    Cut at quantiles of ``sample``, times of rows drawn at random. A time with more than a
+    mean slice, such as that of a snapshot, is split by hash.
+    """
+    mean = max(1.0, len(sample) / slices)
+    found, edge, last, weight = [], low, low, 0
+    for moment, count in sorted(Counter(t for t in sample if low < t <= high).items()):
+        if count > mean or weight + count > mean:
+            if last > edge:
+                found.append(Slice(edge, last))
+            edge, weight = last, 0
+        if count > mean:
+            parts = math.ceil(count / mean)
+            found += [Slice(edge, moment, part, parts) for part in range(parts)]
+            edge = moment
+        else:
+            weight += count
+        last = moment
+    return [*found, Slice(edge, high)] if high > edge else found
+
+
+def sampled_times(times: DataFrame, size: int = SAMPLED_TIMES) -> list[datetime]:
+    """About ``size`` values of the only column of ``times``, drawn at random."""
+    n = times.count()
+    return [row[0] for row in times.sample(min(1.0, size / max(n, 1)), seed=0).limit(2 * size).collect()]
+
+
 def read_jdbc_table(
     spark: SparkSession,
     url: str,
     table: str,
     low: datetime,
-    high: datetime,
     slices: int = 64,
     properties: Mapping[str, str] | None = None,
+    sampled: str = "TABLESAMPLE SYSTEM (1)",
+    hash_sql: str = "abs(hashtext({})::bigint)",
 ) -> DataFrame:
-    """``raw_data, insert_date`` with ``low < insert_date <= high``, read in time slices."""
-    step = (high - low) / slices
-    edges = [low + step * i for i in range(slices)] + [high]
-    predicates = [
-        f"insert_date > TIMESTAMP '{a}' AND insert_date <= TIMESTAMP '{b}'"
-        for a, b in zip(edges, edges[1:])
-    ]
+    """``raw_data, insert_date`` with ``low < insert_date``, up to the newest row there is now.
+
+    Read in slices of about equal numbers of rows by a sample that the database draws.
+    ``sampled`` and ``hash_sql`` are in its dialect, by default that of PostgreSQL.
+    """
+    options = dict(properties or {})
+    newer = f"WHERE insert_date > TIMESTAMP '{low}'"
+    high = spark.read.jdbc(url, f"(SELECT max(insert_date) AS m FROM {table} {newer}) AS newest", properties=options)
+    high = high.select(F.col("m").cast("timestamp_ntz")).first()[0]
     query = f"(SELECT raw_data::text AS raw_data, insert_date FROM {table}) AS source"
-    rows = spark.read.jdbc(url, query, predicates=predicates, properties=dict(properties or {}))
+    if high is None:
+        predicates = ["1 = 0"]
+    else:
+        drawn = f"(SELECT insert_date FROM {table} {sampled} {newer}) AS drawn"
+        times = spark.read.jdbc(url, drawn, properties=options).select(F.col("insert_date").cast("timestamp_ntz"))
+        found = time_slices(sampled_times(times), low, high, slices)
+        predicates = [s.predicate(hash_sql) for s in found]
+    rows = spark.read.jdbc(url, query, predicates=predicates, properties=options)
     return rows.select("raw_data", F.col("insert_date").cast("timestamp_ntz"))
 
 
@@ -134,10 +196,32 @@ def size_batches(
 
 def write_landing(lines: DataFrame, landing: str, table: str, run_ts: datetime) -> None:
     """``<landing>/<table>/dt=<day>/run=<time>/batch=<n>/``; repeating a run replaces it."""
-    folder = f"{landing}/{table}/dt={run_ts:%Y-%m-%d}/run={run_ts:%Y%m%d_%H%M%S}"
+    folder = run_folder(landing, table, run_ts)
     lines.select("line", "batch").write.mode("overwrite").partitionBy("batch").text(folder)
 
 
+def run_folder(landing: str, table: str, run_ts: datetime) -> str:
+    return f"{landing}/{table}/dt={run_ts:%Y-%m-%d}/run={run_ts:%Y%m%d_%H%M%S}"
+
+
+def keys_folder(landing: str, table: str, run_ts: datetime) -> str:
+    """Where a run lists the files it has written, beside the folders that loads read."""
+    return f"{landing}/_keys/{table}/run={run_ts:%Y%m%d_%H%M%S}"
+
+
+def roll_landing(
+    lines: DataFrame, landing: str, table: str, run_ts: datetime, max_bytes: int = BATCH_BYTES
+) -> DataFrame:
+    """Land ``line`` in files of ``max_bytes``, in one pass; ``key, rows, bytes`` of every file.
+
+    ``<landing>/<table>/dt=<day>/run=<time>/<table>_<time>_task<t>_batch<n>.json``;
+    repeating a run replaces it.
+    """
+    name = f"{table}_{run_ts:%Y%m%d_%H%M%S}"
+    folder, keys = run_folder(landing, table, run_ts), keys_folder(landing, table, run_ts)
+    return roll_lines(lines.select("line"), folder, keys, name, max_bytes)
+
+
 @dataclass(frozen=True)
 class Extraction:
     """What one run did to one table."""
@@ -147,6 +231,9 @@ class Extraction:
     batches: int
     checkpoint_advanced: bool
     new_checkpoint: datetime
+    #: Of the files, all of which ``written_files`` of the run's ``keys_folder`` lists.
+    first_key: str | None = None
+    last_key: str | None = None
 
 
 def extract_table(
@@ -161,27 +248,23 @@ def extract_table(
     """Land the rows after the checkpoint, then move the checkpoint.
 
     The upper end is fixed before anything is written, so rows arriving during the
-    run wait for the next one. A failure leaves the checkpoint where it was.
+    run wait for the next one; finding it reads times only. A failure leaves the checkpoint
+    where it was.
     """
     low = read_checkpoint(spark, state, table)
-    fresh = envelope(after_checkpoint(rows, low))
-    count, high, size = fresh.agg(F.count("*"), F.max("insert_date"), line_bytes()).first()
-    if count == 0:
+    high = after_checkpoint(rows, low).agg(F.max("insert_date")).first()[0]
+    if high is None:
         return Extraction(table, 0, 0, False, low)
     lines = envelope(after_checkpoint(rows, low, F.lit(high).cast("timestamp_ntz")))
-    batched = size_batches(lines, max_bytes, ["insert_date"], group_count(size, max_bytes))
-    written = Observation()
-    observed = batched.observe(
-        written, F.count("*").alias("rows"), F.count_if("opens_batch").alias("batches")
-    )
-    write_landing(observed, landing, table, run_ts)
+    files = roll_landing(lines, landing, table, run_ts, max_bytes)
+    landed = files.agg(F.sum("rows"), F.count("*"), F.min("key"), F.max("key")).first()
     advance_checkpoint(spark, state, table, high)
-    return Extraction(table, written.get["rows"], written.get["batches"], True, high)
+    return Extraction(table, landed[0], landed[1], True, high, landed[2], landed[3])
 
 
 def run_summary(spark: SparkSession, runs: Sequence[Extraction]) -> DataFrame:
     schema = (
         "table string, rows_extracted long, batches long, checkpoint_advanced boolean,"
-        " new_checkpoint timestamp_ntz"
+        " new_checkpoint timestamp_ntz, first_key string, last_key string"
     )
     return spark.createDataFrame([vars(run) for run in runs], schema)

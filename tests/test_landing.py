@@ -113,8 +113,52 @@ def test_extraction_moves_forward(spark):
     third = landing.extract_table(spark, source(spark, 3), "t", folder, state, RUN + timedelta(hours=2))
     assert third.rows_extracted == 10
     assert spark.read.text(f"{folder}/t").count() == 30
-    summary = landing.run_summary(spark, [first, again, third])
-    assert [row.rows_extracted for row in summary.collect()] == [20, 0, 10]
+    summary = landing.run_summary(spark, [first, again, third]).collect()
+    assert [row.rows_extracted for row in summary] == [20, 0, 10]
+    assert summary[0].first_key < summary[0].last_key and summary[1].first_key is None
+
+
+def test_tasks_roll_their_files(spark):
+    """Files stay near the limit, the lists name all of them, and no row is shuffled."""
+    root, limit = new_folder(spark, "test"), 1000
+    lines = landing.envelope(source(spark, 20)).repartition(3)
+    files = landing.roll_landing(lines, f"{root}/landing", "t", RUN, limit).collect()
+    folder = Path(landing.run_folder(f"{root}/landing", "t", RUN))
+    assert sorted(p.name for p in folder.iterdir()) == sorted(f.key for f in files)
+    longest = max(len(r.line.encode()) for r in lines.collect())
+    for file in files:
+        text = (folder / file.key).read_bytes()
+        assert text.count(b"\n") == file.rows and len(text) == file.bytes + file.rows
+        assert file.bytes < limit + longest
+    # All but the last file of a task have reached the limit.
+    assert sum(f.bytes < limit for f in files) <= 3 < len(files)
+    back = spark.read.text(str(folder)).withColumnRenamed("value", "line")
+    assert back.exceptAll(lines.select("line")).count() == 0 == lines.select("line").exceptAll(back).count()
+    # Repeating the run with fewer rows leaves nothing of it.
+    landing.roll_landing(lines.limit(5), f"{root}/landing", "t", RUN, limit)
+    assert spark.read.text(str(folder)).count() == 5
+
+
+def test_a_line_beyond_the_limit_and_no_lines(spark):
+    root = new_folder(spark, "test")
+    lines = spark.createDataFrame([("x" * 3_000_000,), ("é",), ("",)], "line string").coalesce(1)
+    files = landing.roll_landing(lines, f"{root}/landing", "t", RUN, 1_000_000).orderBy("key").collect()
+    assert [(f.rows, f.bytes) for f in files] == [(1, 3_000_000), (2, 2)]
+    assert landing.roll_landing(lines.limit(0), f"{root}/landing", "none", RUN).count() == 0
+
+
+def test_a_lost_task_leaves_no_files_to_readers(spark):
+    root = new_folder(spark, "test")
+
+    def broken(batches):
+        for batch in batches:
+            yield batch
+            raise OSError("lost")
+
+    lines = landing.envelope(source(spark, 5)).select("line").coalesce(1).mapInArrow(broken, "line string")
+    with pytest.raises(Exception, match="lost"):
+        landing.roll_landing(lines, f"{root}/landing", "t", RUN, 100)
+    assert spark.read.text(landing.run_folder(f"{root}/landing", "t", RUN)).count() == 0
 
 
 def test_failed_write_keeps_the_checkpoint(spark, monkeypatch):
@@ -123,7 +167,7 @@ def test_failed_write_keeps_the_checkpoint(spark, monkeypatch):
     def fail(*args):
         raise OSError("no space left")
 
-    monkeypatch.setattr(landing, "write_landing", fail)
+    monkeypatch.setattr(landing, "roll_landing", fail)
     with pytest.raises(OSError):
         landing.extract_table(spark, source(spark, 1), "t", "unused", state, RUN)
     assert landing.read_checkpoint(spark, state, "t") == datetime(1970, 1, 1)
@@ -179,9 +223,56 @@ def test_files_load_once_and_bad_lines_count(spark):
 
 def test_jdbc_reader_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver|jdbc"):
-        landing.read_jdbc_table(
-            spark, "jdbc:nowhere:x", "t", datetime(2024, 1, 1), datetime(2024, 1, 2), slices=2
-        )
+        landing.read_jdbc_table(spark, "jdbc:nowhere:x", "t", datetime(2024, 1, 1), slices=2)
+
+
+def skewed(spark):
+    """Rows of one hour hold a third of all, those of one snapshot another third."""
+    return spark.range(30_000).selectExpr(
+        "concat('{\"id\": ', id, '}') AS raw_data",
+        """CASE id % 3 WHEN 0 THEN timestamp_ntz'2024-02-01 13:00:00'
+        WHEN 1 THEN timestampadd(SECOND, CAST(id % 3600 AS INT), timestamp_ntz'2024-03-01 00:00:00')
+        ELSE timestampadd(MINUTE, CAST(id AS INT), timestamp_ntz'2024-01-01 00:00:00') END AS insert_date""",
+    )
+
+
+def test_slices_of_a_skewed_source_are_even(spark):
+    rows = skewed(spark).cache()
+    low, high = datetime(1970, 1, 1), rows.agg(F.max("insert_date")).first()[0]
+    sample = landing.sampled_times(rows.select("insert_date"), 5000)
+    slices = landing.time_slices(sample, low, high, 16)
+    number = "abs(cast(hash({}) AS bigint))"
+    sizes = [rows.where(s.predicate(number)).count() for s in slices]
+    assert sum(sizes) == 30_000 and max(sizes) <= 2 * 30_000 / 16
+    every = " + ".join(f"int({s.predicate(number)})" for s in slices)
+    assert rows.where(f"{every} <> 1").count() == 0
+    rows.unpersist()
+
+
+def test_slices_of_few_or_no_times():
+    low, high = datetime(2024, 1, 1), datetime(2024, 1, 3)
+    assert landing.time_slices([], low, high, 4) == [landing.Slice(low, high)]
+    assert landing.time_slices([high] * 8, low, high, 4) == [landing.Slice(low, high, i, 4) for i in range(4)]
+
+
+def test_jdbc_tables_are_read_slice_by_slice(spark, monkeypatch):
+    """With a reader that answers the three queries from a frame."""
+    rows = skewed(spark)
+    asked = []
+
+    class Reader:
+        def jdbc(self, url, table, predicates=None, properties=None):
+            asked.append((table, predicates))
+            if "max(" in table:
+                return rows.agg(F.max("insert_date").alias("m"))
+            return rows.where(" OR ".join(f"({p})" for p in predicates)) if predicates else rows.select("insert_date")
+
+    session = SimpleNamespace(read=Reader())
+    low = datetime(2024, 1, 10)
+    found = landing.read_jdbc_table(session, "url", "t", low, slices=8, hash_sql="abs(cast(hash({}) AS bigint))")
+    assert found.exceptAll(rows.where(F.col("insert_date") > F.lit(low).cast("timestamp_ntz"))).count() == 0
+    assert found.count() == rows.where(F.col("insert_date") > F.lit(low).cast("timestamp_ntz")).count()
+    assert "TABLESAMPLE" in asked[1][0] and len(asked[2][1]) >= 8
 
 
 def test_bronze_that_was_never_loaded_is_an_error(spark):

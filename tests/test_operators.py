@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from funnelspark.functions import values
 from funnelspark.operators import fields, lookup, nested, quarantine
 from funnelspark.operators.latest import latest_per_key
-from funnelspark.operators.upsert import UpsertRule, upsert_table
+from funnelspark.operators.upsert import UpsertRule, read_table, upsert_table
+from funnelspark.sources import generations
 from funnelspark.sources.storage import new_folder
 
 RULE = UpsertRule(keys=("a", "b"), updated=("v",))
@@ -92,6 +93,21 @@ def test_salted_lookup_equals_broadcast(spark, monkeypatch, how):
     assert len(expected) == (3000 if how == "left" else 1000 + 666)
 
 
+def test_only_hot_keys_are_salted(spark):
+    """A key with a third of the records, and as many without one, spread within twice the median."""
+    records = spark.range(30_000).selectExpr(
+        "id", "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE 'k' || id END AS k"
+    )
+    dim = records.where("k IS NOT NULL").select("k").distinct()
+    hot = lookup.hot_keys(records, ["k"], 8)
+    assert len(hot) == 1
+    left, right = lookup.salted(records, dim, ["k"], ["id"], hot, 8 * lookup.PIECES)
+    assert right.count() == dim.count() + sum(hot.values()) - 1
+    dealt = left.repartition(8, "k", "_salt").groupBy(F.spark_partition_id()).count().collect()
+    sizes = sorted(row["count"] for row in dealt)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+
+
 def test_lookup_bound_counts_bytes(spark, monkeypatch):
     dim = spark.range(10).selectExpr("repeat('x', 100) AS text")
     assert lookup.fits_broadcast(dim)
@@ -103,8 +119,9 @@ def upserted(spark, batches, rule=RULE):
     """The table after upserting the batches one by one, stamped 1, 2, ..."""
     path = new_folder(spark, "test")
     for run, rows in enumerate(batches, start=1):
-        upsert_table(path, spark.createDataFrame(rows, COLUMNS), rule, F.lit(str(run)), buckets=3)
-    return tuples(spark.read.parquet(path).drop("bucket"))
+        frame = spark.createDataFrame(rows, COLUMNS)
+        schema = upsert_table(path, frame, rule, F.lit(str(run)), buckets=3)
+    return tuples(read_table(spark, path, schema))
 
 
 def test_upsert_replaces_only_listed_columns(spark):
@@ -150,21 +167,20 @@ def test_upsert_table_rewrites_only_touched_buckets(spark):
     rows += [(None, "x", "no key", 0, "h"), ("l", None, "no key", 0, "h")]
     source = spark.createDataFrame(rows, COLUMNS)
     stamp = [F.lit(s) for s in ("one", "two", "three")]
-    upsert_table(path, source, RULE, stamp[0])
+    schema = upsert_table(path, source, RULE, stamp[0])
 
-    def files():
-        found = spark.read.parquet(path).select("bucket", "_metadata.file_name").distinct()
-        return {(row.bucket, row.file_name) for row in found.collect()}
+    def folders():
+        return set(generations.newest(spark, path).pieces["rows"].items())
 
-    first = files()
-    assert spark.read.parquet(path).count() == 100
+    first = folders()
+    assert read_table(spark, path, schema).count() == 100
     upsert_table(path, source, RULE, stamp[1])
-    assert files() == first  # nothing changed, nothing written
+    assert folders() == first  # nothing changed, nothing written
     changed = spark.createDataFrame([("l", "7", "new", 0, "h-new")], COLUMNS)
     # Another bucket count must not duplicate the stored row.
     upsert_table(path, changed, RULE, stamp[2], buckets=5)
-    assert len({b for b, _ in files() - first}) == 1
-    table = spark.read.parquet(path)
+    assert len(folders() - first) == len(first - folders()) == 1
+    table = read_table(spark, path, schema)
     assert table.count() == table.select("a", "b").distinct().count() == 100
     assert tuples(table.where("update_date <> 'one'").select("b", "v", "at")) == [("7", "new", 7)]
 
@@ -260,10 +276,11 @@ def test_quarantine_counts_copies_once_per_run(spark):
     )
     found = quarantine.failures(rows, "t", F.lit("now"))
     nothing = found.limit(0)
-    assert quarantine.unseen_failures(found, nothing).count() == 3
+    fresh = quarantine.unseen_failures(found, nothing)
+    assert tuples(fresh.select("raw_payload", "occurrences")) == [("{bad", 2), (None, 1)]
     assert quarantine.unseen_failures(found, found).count() == 0
     other = found.withColumn("insert_date", F.lit(None).cast("timestamp_ntz"))
-    assert quarantine.unseen_failures(other, found).count() == 3
+    assert quarantine.unseen_failures(other, found).count() == 2
 
 
 def test_payload_router(spark, bronze_rows):
