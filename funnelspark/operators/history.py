@@ -75,7 +75,8 @@ def fold_versions(
     ``versions`` has every version of the batch, narrow; ``latest`` the wide row of the greatest
     one of each key, with its hash. Rows without a key are left out. Only buckets in which a row changes are
     rewritten, and those that only see known content again in their narrow part alone; all are
-    switched together, so a lost run leaves the table as it was.
+    switched together, so a lost run leaves the table as it was. The keys of changed rows are
+    listed as the version's ``changes``.
     """
     spark = versions.sparkSession
     before = generations.newest(spark, path)
@@ -130,6 +131,7 @@ def fold_versions(
         audits = delta.where("NOT _fresh").drop("_fresh", "bucket")
         rows = _with_changes(kept, audits, given, rule, derived, content)
         change.replace("rows", rows.unionByName(added), wide, sort_by)
+        change.replace("changes", delta.select(*keys, "bucket"))
     others = generations.read(spark, path, "keys", keys_schema, before, narrow).join(
         seen.select(*keys).distinct(), keys, "left_anti"
     )

@@ -55,7 +55,8 @@ def with_funnel(silver: Silver, touched: DataFrame, corrected: bool) -> DataFram
     )
 
 
-def inbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
+def inbound_grain(silver: Silver, corrected: bool = False) -> DataFrame:
+    """One row per (triage date, setter, lead) with what became of the lead."""
     outcome = F.col("triage_call_outcome")
     taken = outcome.isNotNull() & ~outcome.isin(*c.TRIAGE_NOT_TAKEN)
     touched = (
@@ -70,7 +71,11 @@ def inbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
             F.max(indicator(F.col("strategy_call_booked"))).alias("is_set"),
         )
     )
-    totals = with_funnel(silver, touched, corrected).groupBy("triage_date", "setter").agg(
+    return with_funnel(silver, touched, corrected)
+
+
+def inbound_totals(grain: DataFrame) -> DataFrame:
+    totals = grain.groupBy("triage_date", "setter").agg(
         F.count("*").alias("inbound_booked"),
         F.sum("is_taken").alias("inbound_taken"),
         F.sum("is_set").alias("strategy_call_booked"),
@@ -105,7 +110,12 @@ def inbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
     )
 
 
-def outbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
+def inbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
+    return inbound_totals(inbound_grain(silver, corrected))
+
+
+def outbound_grain(silver: Silver, corrected: bool = False) -> DataFrame:
+    """One row per (dial date, setter, lead) with what became of the lead."""
     touched = (
         gold.outbound_prospect_dials(silver)
         .groupBy(
@@ -118,7 +128,11 @@ def outbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame
             F.max(indicator(F.col("status") == "SET")).alias("is_set"),
         )
     )
-    totals = with_funnel(silver, touched, corrected).groupBy("dial_date", "setter").agg(
+    return with_funnel(silver, touched, corrected)
+
+
+def outbound_totals(grain: DataFrame) -> DataFrame:
+    totals = grain.groupBy("dial_date", "setter").agg(
         F.sum("calls").alias("total_outbound_calls"),
         F.count("*").alias("total_leads_touched"),
         F.sum("is_set").alias("outbound_set"),
@@ -148,13 +162,12 @@ def outbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame
     )
 
 
-def closer_report(silver: Silver, corrected: bool = False) -> DataFrame:
-    """Calls, cancellations and results per closer and month.
+def outbound_setter_report(silver: Silver, corrected: bool = False) -> DataFrame:
+    return outbound_totals(outbound_grain(silver, corrected))
 
-    The lead's current sale counts once per call of the lead. Calls are added up
-    per (lead, closer, month) before the sale is joined, and the sale is weighted
-    by their number, so a lead with many calls is never spread out again.
-    """
+
+def closer_grain(silver: Silver, corrected: bool = False) -> DataFrame:
+    """One row per (lead, closer, month): its calls by result, and the lead's current sale."""
     outcomes = c.CORRECTED_CLOSER_COUNTS if corrected else c.CLOSER_COUNTS
     counts: dict[str, Column] = {
         name: F.col("strategy_call_outcome").isin(*values) for name, values in outcomes.items()
@@ -176,9 +189,13 @@ def closer_report(silver: Silver, corrected: bool = False) -> DataFrame:
         F.nullif(to_number(F.col("contracted_value")), F.lit(0.0)).alias("value"),
         to_number(F.col("cash_collected")).alias("cash"),
     )
+    return per_lead.join(sales, "lead_id", "left")
+
+
+def closer_totals(grain: DataFrame) -> DataFrame:
     weight = F.col("call_booked")
-    totals = per_lead.join(sales, "lead_id", "left").groupBy("closer_name", "call_year_month").agg(
-        F.sum("call_booked").alias("call_booked"),
+    counts = [n for n in grain.columns if n not in ("lead_id", "closer_name", "call_year_month", "value", "cash")]
+    totals = grain.groupBy("closer_name", "call_year_month").agg(
         *[F.sum(name).alias(name) for name in counts],
         F.sum(F.col("value") * weight).alias("_value"),
         F.sum(F.when(F.col("value").isNotNull(), weight)).alias("_valued"),
@@ -201,6 +218,16 @@ def closer_report(silver: Silver, corrected: bool = False) -> DataFrame:
     )
 
 
+def closer_report(silver: Silver, corrected: bool = False) -> DataFrame:
+    """Calls, cancellations and results per closer and month.
+
+    The lead's current sale counts once per call of the lead. Calls are added up
+    per (lead, closer, month) before the sale is joined, and the sale is weighted
+    by their number, so a lead with many calls is never spread out again.
+    """
+    return closer_totals(closer_grain(silver, corrected))
+
+
 def objections_faced_report(
     silver: Silver, patterns: Mapping[str, str] = c.OBJECTION_PATTERNS
 ) -> DataFrame:

@@ -66,10 +66,14 @@ def newest_manifest(spark: SparkSession, path: str) -> DataFrame:
     return rows.join(F.broadcast(newest), ["version", "run"])
 
 
-def newest(spark: SparkSession, path: str) -> Snapshot | None:
-    """The newest version; None before the first. Collects a row for each bucket of each part."""
+def newest(spark: SparkSession, path: str, upto: int | None = None) -> Snapshot | None:
+    """The newest version, ``upto`` one if given; None before the first.
+
+    Collects a row for each bucket of each part.
+    """
     schema = _MANIFEST.removesuffix(", version long")
-    for version in sorted(map(int, _names(spark, f"{path}/manifest", "version=")), reverse=True):
+    versions = map(int, _names(spark, f"{path}/manifest", "version="))
+    for version in sorted((v for v in versions if upto is None or v <= upto), reverse=True):
         rows = spark.read.schema(schema).parquet(f"{path}/manifest/version={version}").collect()
         if rows:
             break
@@ -98,6 +102,18 @@ def read(
     return rows.parquet(*folders).drop("generation")
 
 
+def changes_since(spark: SparkSession, path: str, schema: str, version: int) -> DataFrame | None:
+    """What the runs after ``version`` have listed as ``changes``; None if some are no longer kept."""
+    last = newest(spark, path).version
+    kept = set(map(int, _names(spark, f"{path}/manifest", "version=")))
+    if not kept.issuperset(range(version, last + 1)):
+        return None
+    found = spark.createDataFrame([], schema)
+    for later in range(version + 1, last + 1):
+        found = found.unionByName(read(spark, path, "changes", schema, newest(spark, path, later)).drop("bucket"))
+    return found
+
+
 def read_live(spark: SparkSession, path: str, part: str, schema: str) -> DataFrame:
     """A part of whatever version is newest when the frame is run.
 
@@ -116,6 +132,8 @@ class Change:
         self.spark, self.path, self.before, self.buckets = spark, path.rstrip("/"), before, buckets
         self.run = uuid4().hex
         self.pieces = {part: dict(pieces) for part, pieces in before.pieces.items()} if before else {}
+        # Changes are those of one version.
+        self.pieces.pop("changes", None)
         self.pages = dict(before.pages) if before else {}
 
     def replace(
