@@ -57,11 +57,11 @@ def test_any_order_gives_equal_rows(spark):
     draw = random.Random(2)
     # The first-seen column goes with the content, as in a record.
     versions = [
-        (f"k{draw.randrange(12)}", v := draw.choice("ABC"), ord(v), day) for day in range(4) for _ in range(12)
+        (f"k{draw.randrange(12)}", v := draw.choice("ABC"), ord(v), day) for day in range(3) for _ in range(14)
     ] + [(None, "X", 1, 1)]
     versions = list(dict.fromkeys(versions))
-    days = [[r for r in versions if r[3] == day] for day in range(4)]
-    orders = [days[::-1], [versions], [days[2], versions, days[0]], [[], *(days[i] for i in (1, 0, 3, 2)), days[3]]]
+    days = [[r for r in versions if r[3] == day] for day in range(3)]
+    orders = [days[::-1], [versions], [[], days[1], versions, days[0]]]
     for batches in orders:
         path = new_folder(spark, "history")
         for batch in batches:
@@ -163,7 +163,7 @@ def test_buckets_without_possible_keys_are_not_read(spark):
     at = generations.newest(spark, path)
     batch = spark.createDataFrame([("k3",)], "a string").withColumn("bucket", key_index.bucket_of(["a"], 4))
     found = key_index.stored_keys(batch, path, at, ["a"], "a string, md5_hash string")
-    assert sum("/keys/" in file for file in found.inputFiles()) == 1
+    assert len({file.split("/bucket=")[1][0] for file in found.inputFiles() if "/keys/" in file}) == 1
 
 
 def test_live_reads_see_later_versions(spark):
