@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.config import CRM_USERS, CUSTOM_ACTIVITIES, LEAD_ACTIVITIES
 
+# Outcomes and objections as the source spells them, which reports compare with.
 TRIAGE_OUTCOMES = (
     "1. Strategy Call Scheduled",
     "2. Unqualified",
