@@ -157,7 +157,8 @@ def fold_users(bronze: DataFrame, root: str, run_ts: datetime, buckets: int | No
 
 def fold_activities(bronze: DataFrame, root: str, run_ts: datetime, buckets: int | None = None) -> None:
     """Add snapshots of activities; records without a key, and payloads without data, are recorded."""
-    versions = silver.activity_versions(bronze)
+    # Flattened and hashed once for the three reads below.
+    versions = written(silver.activity_versions(bronze), "activities")
     keyless = silver.without_keys(versions, silver.ACTIVITY_RULE).select(
         "insert_date", F.to_json("full_record").alias("raw_payload"), F.lit(None).alias("parsed")
     )
@@ -170,7 +171,7 @@ def fold_activities(bronze: DataFrame, root: str, run_ts: datetime, buckets: int
     order = ("record_type", "type_id")
     version = silver.version_of("activity_at", "insert_date")
     narrow = versions.select("lead_id", "activity_id", "activity_at", "md5_hash", "insert_date", version)
-    latest = silver.latest_activities(bronze)
+    latest = silver.latest_of_activities(versions)
     fold_versions(f"{root}/lead_activities", narrow, latest, silver.ACTIVITY_HISTORY, buckets, order)
 
 

@@ -194,6 +194,10 @@ def activity_versions(bronze: DataFrame) -> DataFrame:
 
 
 def latest_activities(bronze: DataFrame) -> DataFrame:
+    return latest_of_activities(activity_versions(bronze))
+
+
+def latest_of_activities(versions: DataFrame) -> DataFrame:
     """One row per (lead, activity), with the keys every view reads as columns.
 
     The custom fields become a map of text here, once, so that the views read
@@ -204,7 +208,7 @@ def latest_activities(bronze: DataFrame) -> DataFrame:
         F.col("insert_date").desc_nulls_first(),
         F.col("md5_hash").desc(),
     ]
-    latest = latest_per_key(activity_versions(bronze), ["lead_id", "activity_id"], newest)
+    latest = latest_per_key(versions, ["lead_id", "activity_id"], newest)
     record = F.col("full_record")
     entries = record.try_cast("map<string,variant>").cast("map<string,string>")
     return latest.select(
