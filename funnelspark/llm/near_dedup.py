@@ -41,6 +41,9 @@ EXACT = 25
 PIVOTS = 4
 #: Cells of the counts that tell common shingles from rare ones.
 CELLS = 1 << 18
+#: Bits that mark the texts of open buckets, and those of one page of the bitmap functions.
+MARKS = 1 << 23
+PAGE_BITS = 32_768
 
 _SEEDS = mix(np.arange(1, 2 * SKETCHES + 2, dtype=np.uint64))
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -247,12 +250,26 @@ def _linked_classes(members: DataFrame, texts: DataFrame) -> DataFrame:
     roots, left = _rounds(members, written(alone, "classes"), texts)
     if left is None:
         return roots
-    open_texts = texts.join(left.select("digest").distinct(), "digest", "left_semi")
-    rare = _members(_prefixes(written(open_texts, "open_texts")))
+    rare = _members(_prefixes(_marked(texts, left)))
     roots, left = _rounds(rare, roots, texts)
     return roots if left is None else _merged(roots, _near_in_size(left), texts)
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``texts`` of the digests in ``wanted``, and a few others, without a shuffle of either's texts.
+
+    The digests set bits of a bitmap of fixed size, which is broadcast. A text that is let through
+    by chance only makes candidates more.
+    """
+    place = F.pmod(F.xxhash64("digest"), F.lit(MARKS))
+    page, bit = F.floor(place / PAGE_BITS).cast("int"), (place % PAGE_BITS).cast("int")
+    pages = wanted.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+    near = texts.withColumns({"page": page, "bit": bit}).join(F.broadcast(pages), "page")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, F.col("bit") % 8).bitwiseAND(1) == 1
+    return near.where(is_set).select(*texts.columns)
+
+
 def _prefixes(texts: DataFrame) -> DataFrame:
     """``digest``, ``key``, ``place`` and ``size_of`` the text: the rarest k-mers of each text, one more than it may lack.
 
