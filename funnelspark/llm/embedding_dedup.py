@@ -30,6 +30,8 @@ COSINE = 0.9
 BLOCKS = 4
 #: Vectors of a cell in one side of a tile.
 TILE = 2048
+#: Numbers gathered at once when pairs are verified.
+GATHERED = 1 << 22
 #: Added to squared distances and cells, against rounding: candidates are verified exactly.
 _SLACK = 1e-6
 
@@ -224,24 +226,28 @@ def _joined(group: pa.Table, cosine: float) -> pa.Table:
     right = left if inside else np.flatnonzero(right)
     counts = np.zeros(len(raw), np.int64)
     pairs_a, pairs_b = [], []
+    run = max(1, GATHERED // n)
     part = turned[right, cut[0] : cut[1]]
     square = (part * part).sum(1)
     for begin in range(0, len(left), 512):
         some = left[begin : begin + 512]
         own = turned[some, cut[0] : cut[1]]
         distance = (own * own).sum(1)[:, None] + square[None, :] - 2 * (own @ part.T)
-        x, y = np.nonzero(distance <= budget)
-        x, y = some[x], right[y]
+        near_x, near_y = np.nonzero(distance <= budget)
+        near_x, near_y = some[near_x], right[near_y]
         if inside:
-            x, y = x[x < y], y[x < y]
-        linked = (exact[x] * exact[y]).sum(1) >= cosine
-        x, y = x[linked], y[linked]
-        mine = _owners(exact, x, y, cosine) == block
-        x, y = x[mine], y[mine]
-        np.add.at(counts, x, copies[y])
-        np.add.at(counts, y, copies[x])
-        pairs_a.append(x)
-        pairs_b.append(y)
+            near_x, near_y = near_x[near_x < near_y], near_y[near_x < near_y]
+        # Dense groups have very many pairs near; their vectors are gathered in runs.
+        for first in range(0, len(near_x), run):
+            x, y = near_x[first : first + run], near_y[first : first + run]
+            linked = (exact[x] * exact[y]).sum(1) >= cosine
+            x, y = x[linked], y[linked]
+            mine = _owners(exact, x, y, cosine) == block
+            x, y = x[mine], y[mine]
+            np.add.at(counts, x, copies[y])
+            np.add.at(counts, y, copies[x])
+            pairs_a.append(x.astype(np.int32))
+            pairs_b.append(y.astype(np.int32))
     x, y = (np.concatenate(p) if p else np.zeros(0, int) for p in (pairs_a, pairs_b))
     root = np.arange(len(raw))
     while True:
