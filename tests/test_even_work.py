@@ -1,10 +1,12 @@
-"""Input dealt evenly to tasks and read once."""
+"""Input dealt evenly to tasks, read once, and batches that more than one task reads."""
 
 from datetime import datetime
 
 import pytest
+from conftest import SMALLEST
 from pyspark.sql import functions as F
 
+from funnelspark import queries
 from funnelspark.plans import pipeline, silver
 from funnelspark.sources import crm
 from funnelspark.sources.storage import new_folder
@@ -82,3 +84,17 @@ def test_flattened_rows_are_the_versions(spark):
     flat = silver.flattened_activities(bronze).where("no_data IS NULL").select(*columns)
     versions = silver.activity_versions(bronze).select(*columns)
     assert sorted(flat.collect(), key=repr) == sorted(versions.collect(), key=repr)
+
+
+def test_stream_batches_have_many_tasks(spark, monkeypatch):
+    """A batch of bronze files is read by more than one task."""
+    tasks = []
+    fold = pipeline.fold_activities
+
+    def watched(batch, *args):
+        tasks.append(batch.select(F.spark_partition_id()).distinct().count())
+        fold(batch, *args)
+
+    monkeypatch.setattr(pipeline, "fold_activities", watched)
+    assert queries.activities_stream_upsert(spark, SMALLEST).count() > 0
+    assert len(tasks) == 4 and min(tasks) > 1
