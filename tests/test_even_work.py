@@ -1,15 +1,18 @@
 """Input dealt evenly to tasks, read once, and batches that more than one task reads."""
 
 from datetime import datetime
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SMALLEST
 from pyspark.sql import functions as F
 
 from funnelspark import queries
+from funnelspark.operators.history import HistoryRule, fold_versions
 from funnelspark.plans import pipeline, silver
 from funnelspark.sources import crm
-from funnelspark.sources.storage import new_folder
+from funnelspark.sources.storage import new_folder, whole_variants, written
 
 RUN = datetime(2024, 3, 1)
 
@@ -98,3 +101,70 @@ def test_stream_batches_have_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "fold_activities", watched)
     assert queries.activities_stream_upsert(spark, SMALLEST).count() > 0
     assert len(tasks) == 4 and min(tasks) > 1
+
+
+@pytest.fixture
+def uncoalesced(spark):
+    """As many tasks as shuffle partitions, as in a large run."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_a_bucket_is_written_by_one_task(spark, uncoalesced):
+    """A first fold, and one that changes and adds keys, write a file for each bucket they replace."""
+    rule = HistoryRule(keys=("id",))
+    root = new_folder(spark, "files")
+
+    def fold(last, text):
+        rows = spark.range(last).select(
+            F.col("id").cast("string").alias("id"), F.lit(text).alias("text"), F.md5(F.lit(text)).alias("md5_hash"),
+            F.struct(F.lit(text).alias("v")).alias("version"), F.lit(RUN).cast("timestamp_ntz").alias("insert_date"),
+        )
+        fold_versions(root, rows.drop("text"), rows.drop("insert_date"), rule, 8)
+
+    def new_files(part, known):
+        return {str(f) for f in Path(root, part).glob("generation=*/bucket=*/*.parquet") if "none" not in str(f)} - known
+
+    fold(2000, "a")
+    first = {part: new_files(part, set()) for part in ("keys", "bitmap", "rows")}
+    assert {part: len(files) for part, files in first.items()} == {"keys": 8, "bitmap": 8, "rows": 8}
+    fold(3000, "b")
+    assert len(new_files("keys", first["keys"])) == 8
+    assert len(new_files("bitmap", first["bitmap"])) == 8
+    assert len(new_files("changes", set())) == 8
+    stored = pipeline.read_table(spark, root, "id string, text string")
+    assert stored.groupBy("text").count().collect() == [("b", 3000)]
+
+
+def test_variants_are_stored_whole(spark):
+    """No variant is taken apart into columns, and the session is left as it was."""
+    name = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(name, None)
+    rows = spark.range(10).select(F.try_parse_json(F.lit('{"a": "x", "b": 1}')).alias("record"))
+    files = [f.removeprefix("file:") for f in written(rows, "variants").inputFiles()]
+    assert files and not any("typed_value" in str(pq.ParquetFile(f).schema) for f in files)
+    assert spark.conf.get(name, None) == before
+    with pytest.raises(ZeroDivisionError), whole_variants(spark):
+        1 / 0
+    assert spark.conf.get(name, None) == before
+
+
+def test_texts_are_made_before_the_snapshots(spark):
+    """One text for each content of an event, whose making Spark compiles, below the snapshots."""
+    rows = crm.lead_activities(spark, SMALLEST)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = plan.partition("Generate")
+    assert "StructsToJson" not in above and "StructsToJson" in below and "lambda" not in plan
+    parsed = F.try_parse_json("raw_data")
+    date = F.try_variant_get(parsed, "$.INSERT_DATE", "timestamp_ntz")
+    ids = F.try_variant_get(parsed, "$.data", "array<variant>")
+    assert rows.where(~date.eqNullSafe(F.col("insert_date")) | ~F.size(ids).isin(1, 2)).isEmpty()
+
+
+def test_a_build_does_not_store_its_source(spark, monkeypatch):
+    """The build reads bronze once, so it is not written before."""
+    monkeypatch.setattr(queries, "written", lambda rows, label: pytest.fail(f"{label} is written"))
+    assert queries.new_silver(spark, SMALLEST).activities.count() > 0
