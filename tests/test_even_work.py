@@ -89,6 +89,30 @@ def test_flattened_rows_are_the_versions(spark):
     assert sorted(flat.collect(), key=repr) == sorted(versions.collect(), key=repr)
 
 
+#: Documents whose text a content hash is made of.
+DOCUMENTS = [
+    '{"b": "x", "a": 1, "custom.c": ["y", null, 2.50], "d": {"f": {}, "e": [true, 1e300]}}',
+    '{"quote \\" and \\\\ key": "line\\nend \\u0001\\u2028 / é 😀", "": "", "n": null, "big": 123456789012345678901234567890}',
+    '{"z": -0.0, "long": 9223372036854775807, "decimal": 0.10, "bool": false, "deep": [[{"k": "\\t"}]]}',
+    "{}", "[]", '["a", {"b": null}]', '"text \\" quoted"', "7", "1.50", "true", "null", None,
+]
+
+
+def test_hashes_are_those_of_cast_records(spark):
+    """Content hashes are made without a cast of whole objects, and are the same as ever."""
+    stored = spark.createDataFrame([(text,) for text in DOCUMENTS], "text string")
+    records = written(stored.select(F.try_parse_json("text").alias("record")), "records")
+    record = F.col("record")
+    pairs = records.select(
+        silver.record_text(record).alias("text"), record.cast("string").alias("cast_text"),
+        silver.content_hash(record).alias("hash"), F.md5(record.cast("string")).alias("cast_hash"),
+    )
+    found = pairs.collect()
+    # A JSON null and a missing document have no text.
+    assert sum(row.text is not None for row in found) == len(DOCUMENTS) - 2
+    assert all(row.text == row.cast_text and row.hash == row.cast_hash for row in found), found
+
+
 def test_stream_batches_have_many_tasks(spark, monkeypatch):
     """A batch of bronze files is read by more than one task."""
     tasks = []
