@@ -8,12 +8,21 @@ from pyspark.sql import functions as F
 # A token is text outside strings, a closed string, or an unclosed tail. A quote
 # closes its string when only blanks separate it from , } ] : or the end.
 _TOKEN = r"[^']+|'(?s:.*?)'(?=[ \t\n\r]*(?:[,}\]:]|\z))|'(?s:.*)"
+# The same for a text with a quote put behind it, which closes an unclosed tail and nothing else.
+_CLOSED = r"'((?s:.*?))'(?=[ \t\n\r]*(?:[,}\]:]|'?\z))"
 _MARK = "#"
 
 
 def repair_quotes(text: Column) -> Column:
-    """Turn single-quoted strings into JSON strings; apostrophes inside stay."""
+    """Turn single-quoted strings into JSON strings; apostrophes inside stay.
 
+    Only a text that holds a double quote, which may have to be escaped, is taken apart into tokens.
+    """
+    closed = F.regexp_replace(F.concat(text, F.lit("'")), _CLOSED, '"$1"')
+    return F.when(text.contains('"'), _rewritten(text)).otherwise(F.left(closed, F.length(text)))
+
+
+def _rewritten(text: Column) -> Column:
     def rewrite(token: Column) -> Column:
         closed = token.endswith("'") & (F.length(token) > 1)
         inner = F.when(closed, token.substr(F.lit(2), F.length(token) - 2)).otherwise(

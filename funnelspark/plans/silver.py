@@ -213,11 +213,12 @@ def flattened_activities(bronze: DataFrame) -> DataFrame:
     ``keyless`` is the text of a record without a key. A payload without ``data`` is a row of
     its own, which has nothing but its time and its text, ``no_data``.
     """
-    payload = F.col("payload")
-    items = F.try_variant_get(payload, "$.data", "variant")
+    payload, items = F.col("payload"), F.col("_items")
+    # Taken out of the payload once: that copies all of it.
+    found = bronze.select("payload", "insert_date", F.try_variant_get(payload, "$.data", "variant").alias("_items"))
     no_data = F.when(payload.isNotNull() & items.isNull(), F.to_json(payload)).alias("no_data")
-    opened = explode_outer(bronze.select("payload", "insert_date", no_data), items, "record")
-    records = opened.where("record IS NOT NULL OR no_data IS NOT NULL").drop("payload")
+    opened = explode_outer(found.select("insert_date", "_items", no_data), items, "record")
+    records = opened.where("record IS NOT NULL OR no_data IS NOT NULL").drop("_items")
     missing = keys_missing(ACTIVITY_RULE) & F.col("no_data").isNull()
     versions = _versions(records, "no_data")
     return versions.withColumn("keyless", F.when(missing, F.to_json("full_record")))
