@@ -2,10 +2,14 @@
 
 import resource
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from funnelspark.llm import embedding_dedup
+from funnelspark.sources.storage import written
 
 
 def by_all_pairs(ids, rows, cosine=0.9):
@@ -59,3 +63,39 @@ def test_a_dense_group_takes_bounded_memory():
     counts = [n for n in found["links"].to_pylist() if n is not None]
     assert counts == [4999] * 5000
     assert grown < 1000
+
+
+@pytest.mark.parametrize("element", ["float", "double"])
+def test_a_vector_is_stored_once_however_many_tiles_there_are(spark, monkeypatch, tmp_path, element):
+    """With 13 sides and more a vector is in one file; tasks are handed names of files, not vectors."""
+    rng = np.random.default_rng(3)
+    rows = rng.standard_normal((200, 64)).astype(np.float32).astype(float)
+    rows[100:130] = (rows[:30] + 0.1 * rng.standard_normal((30, 64))).astype(np.float32)
+    rows[190:] = rows[:10]
+    ids = list(range(200))
+    table = spark.createDataFrame(list(zip(ids, rows.tolist())), f"vec_id long, embedding array<{element}>")
+    plans = []
+
+    def watched(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, label)
+
+    monkeypatch.setattr(embedding_dedup, "written", watched)
+    monkeypatch.setattr(embedding_dedup, "new_folder", lambda spark, label: f"file:{tmp_path}/{label}", raising=False)
+    got = embedding_dedup.links(table, tile=16)
+    assert sorted(tuple(r) for r in got.collect()) == by_all_pairs(ids, rows)
+    assert not any("Generate" in plan for plan in plans) and sum("raw#" in plan for plan in plans) == 1
+    files = list((tmp_path / "vectors").glob("*.arrow"))
+    sides = [pa.ipc.open_file(file).read_all() for file in files]
+    names = [name for side in sides for name in side["node"].to_pylist()]
+    assert len(names) == len(set(names)) == 190 and max(map(len, sides)) <= 16 and len(files) >= 12
+    assert {len(raw) for side in sides for raw in side["raw"].to_pylist()} == {64 * (4 if element == "float" else 8)}
+
+
+@pytest.mark.parametrize("sides", range(1, 12))
+def test_any_two_sides_meet_once(sides):
+    met = Counter(
+        tuple(sorted((i, (i + k) % sides)))
+        for _, i, first, last in embedding_dedup._units({64: sides}) for k in range(first, last)
+    )
+    assert met == Counter((i, j) for i in range(sides) for j in range(i, sides))
