@@ -159,19 +159,21 @@ def _two_loads(spark: SparkSession, sf_dir: str) -> pipeline.Folders:
     key = (spark.sparkContext.applicationId, sf_dir, _state_of(spark, sf_dir))
     if key in _loads:
         return _loads[key]
-    lines = {t: landing.envelope(rows) for t, rows in crm.raw_tables(spark, sf_dir).items()}
+    day = F.date_format("insert_date", "yyyyMMdd").cast("long")
+    raw = {t: rows.withColumn("batch", day).repartition("batch") for t, rows in crm.raw_tables(spark, sf_dir).items()}
+    # Most of the texts: they are made in the tasks that write them.
+    raw[c.LEAD_ACTIVITIES] = crm.lead_activities_by(spark, sf_dir, day)
+    lines = {t: landing.envelope(rows) for t, rows in raw.items()}
     cut = F.col("line").rlike('"acti_[0-9]*00"')
     half = F.col("line").substr(F.lit(1), F.floor(F.length("line") / 2).cast("int"))
     lines[c.LEAD_ACTIVITIES] = lines[c.LEAD_ACTIVITIES].withColumn(
         "line", F.when(cut, half).otherwise(F.col("line"))
     )
     folders = pipeline.Folders(new_folder(spark, "loads"))
-    day = F.date_format("insert_date", "yyyyMMdd").cast("long")
     late = F.col("insert_date") >= F.lit(SECOND_LOAD_FROM).cast("timestamp_ntz")
     for part, run_ts in ((~late, FIRST_RUN), (late, SECOND_RUN)):
         for table, rows in lines.items():
-            files = rows.where(part).withColumn("batch", day).repartition("batch")
-            landing.write_landing(files, folders.landing, table, run_ts)
+            landing.write_landing(rows.where(part), folders.landing, table, run_ts)
         pipeline.load_bronze(spark, folders, run_ts)
         pipeline.reconcile(spark, folders, run_ts)
     _loads[key] = folders

@@ -195,9 +195,9 @@ def size_batches(
 
 
 def write_landing(lines: DataFrame, landing: str, table: str, run_ts: datetime) -> None:
-    """``<landing>/<table>/dt=<day>/run=<time>/batch=<n>/``; repeating a run replaces it."""
+    """``<landing>/<table>/dt=<day>/run=<time>/batch=<n>/``, compressed; repeating a run replaces it."""
     folder = run_folder(landing, table, run_ts)
-    lines.select("line", "batch").write.mode("overwrite").partitionBy("batch").text(folder)
+    lines.select("line", "batch").write.mode("overwrite").partitionBy("batch").text(folder, compression="gzip")
 
 
 def run_folder(landing: str, table: str, run_ts: datetime) -> str:
