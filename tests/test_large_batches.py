@@ -2,11 +2,16 @@
 
 import random
 from collections import Counter
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
+from conftest import SMALLEST
 from pyspark.sql import functions as F
 from test_history import HISTORY, ROWS, VERSIONS, content, fold, rows_by_hand
 
+from funnelspark import queries
+from funnelspark.config import LEAD_ACTIVITIES
 from funnelspark.operators import history, key_index
 from funnelspark.operators.history import fold_versions
 from funnelspark.operators.latest import latest_per_key
@@ -103,3 +108,11 @@ def test_newest_rows_are_found_once(spark):
         patch.setattr(generations.Change, "replace", watched)
         fold_versions(path, rows.drop("v"), latest, HISTORY, 3)
     assert [plan.count(" Window [row_number") for plan in plans] == [1]
+
+
+def test_streamed_payloads_are_stored_whole(spark, monkeypatch, tmp_path):
+    """Batches read all of a payload, so none is taken apart into columns."""
+    monkeypatch.setattr(queries, "new_folder", lambda spark, label: f"{tmp_path}/{label}")
+    assert queries.activities_stream_upsert(spark, SMALLEST).count() > 0
+    files = list(Path(tmp_path, "activities_stream/bronze", LEAD_ACTIVITIES).glob("*.parquet"))
+    assert files and not any("typed_value" in str(pq.ParquetFile(f).schema) for f in files)
